@@ -37,7 +37,8 @@ from ._shared import worker_cache
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters whose classes do not depend on the Unicode version; others are split by the library.
 SETTLED = "\x00-՗֐-ࢇऀ-౛Ḁ-ỿ -⁯℀-⅏←-⋿　-ヿ一-鿿가-힣"
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+ADJACENT = re.compile(r"\s |\s{2}| \s")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -47,6 +48,20 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+class Spaced(dict):
+    """word -> ids of the word with a space before it, found when first asked for."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = tuple(self.encode(" " + word))
+        if len(word) < 64 and len(self) <= REMEMBERED:  # texts with no end of new words stay within bounds
+            self[word] = ids
+        return ids
+
+
 class Bpe:
     """A byte-level BPE vocabulary, ready to encode and decode."""
 
@@ -88,6 +103,7 @@ class Bpe:
         self.library = Tokenizer.from_file(path).pre_tokenizer
         self.fits: dict[tuple[int, int], bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.spaced = Spaced(self.encode_plain)
         # The offset table: bytes of token i stand at blob[start[i]:start[i + 1]].
         shown = {i: s.encode("latin-1") for s, i in ids.items()} | {i: s.encode() for s, i in self.special.items()}
         self.table_size = max(shown) + 1
@@ -125,7 +141,7 @@ class Bpe:
                 # The token right of the border was made by merge y; a crossing of the
                 # same order stands further left and would have come first.
                 before, b = y[0] + 1, y[1]
-        if len(self.fits) > 20 * REMEMBERED:
+        if len(self.fits) > 2 * REMEMBERED:
             self.fits.clear()
         self.fits[key] = answer
         return answer
@@ -164,23 +180,36 @@ class Bpe:
             return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
         return self.pieces.findall(text)
 
-    def encode(self, text: str) -> list[int]:
+    def encode_plain(self, text: str) -> list[int]:
+        """The ids of a text that holds no special string."""
         known, out = self.known, []
-        for k, part in enumerate(self.split_special.split(text) if self.split_special else [text]):
+        for p in self.split(text):
+            if (ids := known.get(p)) is None:
+                ids = self.encode_piece(p)
+                if len(known) < REMEMBERED and len(p) < 64:
+                    known[p] = ids
+            out.extend(ids)
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        """The ids of ``text``; special strings in it become their own ids."""
+        parts = self.split_special.split(text) if any(s in text for s in self.special) else [text]
+        out: list[int] = []
+        for k, part in enumerate(parts):
             if k % 2:
                 out.append(self.special[part])
-            elif part:
-                pieces = self.split(part)
-                if len(known) > REMEMBERED:
-                    known.clear()
-                for p in pieces if len(pieces) < REMEMBERED // 4 else ():
-                    if p not in known:
-                        known[p] = self.encode_piece(p)
-                if pieces and len(pieces) < REMEMBERED // 4:
-                    out.extend(chain.from_iterable(map(known.__getitem__, pieces)))
-                else:  # very long texts must not fill the memory with their pieces
-                    for p in pieces:
-                        out.extend(known.get(p) or self.encode_piece(p))
+            elif ADJACENT.search(part) or not part:
+                out.extend(self.encode_plain(part))
+            else:
+                # A space between two characters that are no white space always begins a
+                # piece, so words can be looked up with the space before them.
+                first, *words = part.split(" ")
+                out.extend(self.encode_plain(first))
+                out.extend(chain.from_iterable(map(self.spaced.__getitem__, words)))
+        if len(self.spaced) > REMEMBERED:
+            self.spaced.clear()
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
         return out
 
     def decode(self, ids: np.ndarray) -> str:
