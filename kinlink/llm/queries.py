@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, sharding
+from . import bpe, chat, langid, licenses, sharding, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,14 +35,32 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_tokens(bpe.decode_documents(bpe.encode_documents(_table(spark, sf_dir, "documents"), path), path))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify_languages(docs, langid.learn_profiles(docs))
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), n_shards=24)
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render_conversations(_table(spark, sf_dir, "conversations"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
+
+
 OP8_SQL = """
 WITH turns AS (
   SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
@@ -70,8 +88,12 @@ GROUP BY conv_id, part, kept.n_turns, copies
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
+        "op2_language": op2_language,
         "op3_shards": op3_shards,
+        "op4_token_counts": op4_token_counts,
+        "op5_licenses": op5_licenses,
         "op8_chat": op8_chat,
+        "op10_toxicity": op10_toxicity,
     }
 
 
