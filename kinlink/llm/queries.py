@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, licenses, sharding, token_counts, toxicity
+from . import bpe, chat, langid, licenses, neardup, sharding, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render_conversations(_table(spark, sf_dir, "conversations"))
 
 
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
@@ -93,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_token_counts": op4_token_counts,
         "op5_licenses": op5_licenses,
         "op8_chat": op8_chat,
+        "op9_neardup": op9_neardup,
         "op10_toxicity": op10_toxicity,
     }
 
