@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import json
 import re
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,9 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: Characters whose classes do not depend on the Unicode version; others are split by the library.
 SETTLED = "\x00-՗֐-ࢇऀ-౛Ḁ-ỿ -⁯℀-⅏←-⋿　-ヿ一-鿿가-힣"
 REMEMBERED = 400_000
+DECODED = 1 << 20
+SHIFT = 24  # a pair of tokens as one number
+ENDINGS = (".", ",", ";", ":", "!", "?")  # each is a piece of its own after a letter
 ADJACENT = re.compile(r"\s |\s{2}| \s")
 
 
@@ -49,14 +52,21 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Spaced(dict):
-    """word -> ids of the word with a space before it, found when first asked for."""
+    """word -> packed ids of the word with a space before it, found when first asked for."""
 
-    def __init__(self, encode):
+    def __init__(self, bpe: Bpe):
         super().__init__()
-        self.encode = encode
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = tuple(self.encode(" " + word))
+        self.bpe = bpe
+
+    def __missing__(self, word: str) -> bytes:
+        bpe = self.bpe
+        plain = word.isascii() or not bpe.unsettled.search(word)
+        if plain and word.isalpha():
+            ids = bpe.encode_piece(" " + word)
+        elif plain and word[-1:] in ENDINGS and word[:-1].isalpha():
+            ids = self[word[:-1]] + bpe.encode_plain(word[-1:])
+        else:
+            ids = bpe.encode_plain(" " + word)
         if len(word) < 64 and len(self) <= REMEMBERED:  # texts with no end of new words stay within bounds
             self[word] = ids
         return ids
@@ -78,20 +88,20 @@ class Bpe:
         ids = {as_latin(s): i for s, i in spec["model"]["vocab"].items()}
         self.size = max(ids.values()) + 1
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}  # pair -> (order of the merge, merged token)
+        self.order: dict[int, int] = {}  # pair -> order of its merge
         self.parts: dict[int, tuple[int, int, int]] = {}  # token -> (order, left, right)
         for order, (a, b) in enumerate(merges):
             a, b = as_latin(a), as_latin(b)
-            self.rank[ids[a], ids[b]] = (order, ids[a + b])
+            self.order[ids[a] << SHIFT | ids[b]] = order
             self.parts.setdefault(ids[a + b], (order, ids[a], ids[b]))
         self.automaton = ahocorasick.Automaton()
         for s, i in ids.items():
-            self.automaton.add_word(s, (i, len(s)))
+            self.automaton.add_word(s, (i, len(s) - 1))
         self.automaton.make_automaton()
-        self.ids = ids
-        self.length = {i: len(s) for s, i in ids.items()}
-        self.shorter: dict[int, int] = {}  # token -> longest token that is a proper prefix of it
+        self.length = [0] * self.size
+        self.shorter = [-1] * self.size  # token -> longest token that is a proper prefix of it
         for s, i in ids.items():
+            self.length[i] = len(s)
             for n in range(len(s) - 1, 0, -1):
                 if (j := ids.get(s[:n])) is not None:
                     self.shorter[i] = j
@@ -101,16 +111,17 @@ class Bpe:
         self.pieces = regex.compile(PIECES)
         self.unsettled = re.compile(f"[^{SETTLED}]")
         self.library = Tokenizer.from_file(path).pre_tokenizer
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.spaced = Spaced(self.encode_plain)
+        self.fits: dict[int, bool] = {}  # the pair-compatibility table, filled when first asked for
+        self.known: dict[str, bytes] = {}  # piece -> its ids, packed
+        self.spaced = Spaced(self)
         # The offset table: bytes of token i stand at blob[start[i]:start[i + 1]].
         shown = {i: s.encode("latin-1") for s, i in ids.items()} | {i: s.encode() for s, i in self.special.items()}
         self.table_size = max(shown) + 1
         lengths = np.zeros(self.table_size + 1, np.int64)
         for i, s in shown.items():
             lengths[i + 1] = len(s)
-        self.start = np.cumsum(lengths)
+        self.start = np.cumsum(lengths).astype(np.int32)
+        self.width = np.diff(self.start)
         self.blob = np.frombuffer(b"".join(shown.get(i, b"") for i in range(self.table_size)), np.uint8)
 
     def compatible(self, left: int, right: int) -> bool:
@@ -120,16 +131,13 @@ class Bpe:
         the border that comes before the merge undone there would have
         happened earlier, and torn one of the two tokens apart.
         """
-        key = (left, right)
-        if (known := self.fits.get(key)) is not None:
-            return known
-        before = len(self.rank)  # the order of the merge undone last
+        before = len(self.order)  # the order of the merge undone last
         a, b = left, right
         answer = True
         while True:
-            crossing = self.rank.get((a, b))
+            crossing = self.order.get(a << SHIFT | b)
             # Of equal orders, the pair further left is merged first: see below.
-            if crossing is not None and crossing[0] < before:
+            if crossing is not None and crossing < before:
                 answer = False
                 break
             x, y = self.parts.get(a), self.parts.get(b)
@@ -141,86 +149,94 @@ class Bpe:
                 # The token right of the border was made by merge y; a crossing of the
                 # same order stands further left and would have come first.
                 before, b = y[0] + 1, y[1]
-        if len(self.fits) > 2 * REMEMBERED:
+        if len(self.fits) > REMEMBERED:
             self.fits.clear()
-        self.fits[key] = answer
+        self.fits[left << SHIFT | right] = answer
         return answer
 
-    def encode_piece(self, piece: str) -> tuple[int, ...]:
-        s = piece.encode().decode("latin-1")
-        if (whole := self.ids.get(s)) is not None and len(s) == 1:
-            return (whole,)
+    def encode_piece(self, piece: str) -> bytes:
+        """The ids of a piece, as packed 32-bit numbers."""
+        s = piece if piece.isascii() else piece.encode().decode("latin-1")
         n = len(s)
         longest = [0] * n
-        reach = [0] * n
-        for end, (token, width) in self.automaton.iter(s):
-            at = end - width + 1
-            if width > reach[at]:
-                reach[at], longest[at] = width, token
-        fits, length, shorter = self.compatible, self.length, self.shorter
+        for end, (token, more) in self.automaton.iter(s):
+            longest[end - more] = token  # ends only grow, so the longest stays
+        known, length, shorter = self.fits.get, self.length, self.shorter
         dead = bytearray(n + 1)
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, last, token = 0, -1, longest[0]
         while True:
             end = at + length[token]
-            if not dead[end] and (not out or fits(out[-1], token)):
-                out.append(token)
-                if end == n:
-                    return tuple(out)
-                at, token = end, longest[end]
-                continue
-            while (cut := shorter.get(token)) is None:
+            if not dead[end]:
+                if last < 0 or (fits := known(last << SHIFT | token)):
+                    fits = True
+                elif fits is None:
+                    fits = self.compatible(last, token)
+                if fits:
+                    out.append(token)
+                    if end == n:
+                        return array("i", out).tobytes()
+                    at, last, token = end, token, longest[end]
+                    continue
+            while (cut := shorter[token]) < 0:
                 dead[at] = 1
                 token = out.pop()
                 at -= length[token]
-            token = cut
+            token, last = cut, out[-1] if out else -1
 
     def split(self, text: str) -> list[str]:
         if self.unsettled.search(text):
             return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
         return self.pieces.findall(text)
 
-    def encode_plain(self, text: str) -> list[int]:
-        """The ids of a text that holds no special string."""
+    def encode_plain(self, text: str) -> bytes:
+        """The packed ids of a text that holds no special string."""
         known, out = self.known, []
         for p in self.split(text):
             if (ids := known.get(p)) is None:
                 ids = self.encode_piece(p)
-                if len(known) < REMEMBERED and len(p) < 64:
+                if len(known) < REMEMBERED // 4 and len(p) < 64:
                     known[p] = ids
-            out.extend(ids)
-        return out
+            out.append(ids)
+        return b"".join(out)
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         """The ids of ``text``; special strings in it become their own ids."""
         parts = self.split_special.split(text) if any(s in text for s in self.special) else [text]
-        out: list[int] = []
+        out: list[bytes] = []
         for k, part in enumerate(parts):
             if k % 2:
-                out.append(self.special[part])
+                out.append(array("i", [self.special[part]]).tobytes())
             elif ADJACENT.search(part) or not part:
-                out.extend(self.encode_plain(part))
+                out.append(self.encode_plain(part))
             else:
                 # A space between two characters that are no white space always begins a
                 # piece, so words can be looked up with the space before them.
                 first, *words = part.split(" ")
-                out.extend(self.encode_plain(first))
-                out.extend(chain.from_iterable(map(self.spaced.__getitem__, words)))
+                out.append(self.encode_plain(first))
+                out.extend(map(self.spaced.__getitem__, words))
         if len(self.spaced) > REMEMBERED:
             self.spaced.clear()
-        if len(self.known) >= REMEMBERED:
+        if len(self.known) >= REMEMBERED // 4:
             self.known.clear()
-        return out
+        return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
-        ids = np.asarray(ids, np.int64)
+        """Slices of the blob, joined; ids that the vocabulary lacks stand for nothing."""
         if not len(ids):
             return ""
-        ids = ids[(ids >= 0) & (ids < self.table_size)]
-        begin, width = self.start[ids], self.start[ids + 1] - self.start[ids]
-        ends = np.cumsum(width)
-        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - width), width)
-        return self.blob[where].tobytes().decode("utf-8", "replace")
+        if ids.min() < 0 or ids.max() >= self.table_size:
+            ids = ids[(ids >= 0) & (ids < self.table_size)]
+        return b"".join(
+            self.decode_bytes(ids[at : at + DECODED]) for at in range(0, len(ids), DECODED)
+        ).decode("utf-8", "replace")
+
+    def decode_bytes(self, ids: np.ndarray) -> bytes:
+        width = self.width[ids]
+        ends = np.cumsum(width, dtype=np.int32)
+        where = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+        where += np.repeat(self.start[ids] - (ends - width), width)
+        return self.blob[where].tobytes()
 
 
 def load(path: str) -> Bpe:
@@ -239,7 +255,7 @@ def encode_column(text: Column, vocabulary: str) -> Column:
         flat, ends = [], np.zeros(len(texts) + 1, np.int32)
         for k, t in enumerate(texts):
             ids = bpe.encode(t.as_py() or "")
-            flat.append(np.array(ids, np.int32))
+            flat.append(ids)
             ends[k + 1] = ends[k] + len(ids)
         values = np.concatenate(flat) if flat else np.empty(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
@@ -270,3 +286,10 @@ def encode_documents(
 def decode_documents(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """Adds ``decoded``, the text of ``ids``."""
     return encoded.withColumn("decoded", decode_column(F.col("ids"), vocabulary))
+
+
+def with_digests(decoded: DataFrame) -> DataFrame:
+    """Adds SHA-256 digests of the ids (decimal, joined by commas) and of the decoded text."""
+    return decoded.withColumn(
+        "ids_sha256", F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
+    ).withColumn("decoded_sha256", F.sha2(F.col("decoded").cast("binary"), 256))

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, licenses, neardup, sharding, token_counts, toxicity
+from . import ann, bpe, chat, decontaminate, langid, licenses, neardup, sharding, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,19 +19,10 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def digest_tokens(encoded: DataFrame) -> DataFrame:
-    """Digests of ids and decoded text, from what the BPE operator returns."""
-    return encoded.select(
-        "doc_id",
-        "n_tokens",
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
-
-
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _vocabulary("byte_bpe_50k.json")
-    return digest_tokens(bpe.decode_documents(bpe.encode_documents(_table(spark, sf_dir, "documents"), path), path))
+    encoded = bpe.encode_documents(_table(spark, sf_dir, "documents"), path)
+    return bpe.with_digests(bpe.decode_documents(encoded, path)).drop("ids", "decoded")
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +42,14 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), k=20)
+
+
+def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render_conversations(_table(spark, sf_dir, "conversations"))
 
@@ -96,6 +94,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_shards": op3_shards,
         "op4_token_counts": op4_token_counts,
         "op5_licenses": op5_licenses,
+        "op6_ann": op6_ann,
+        "op7_leaks": op7_leaks,
         "op8_chat": op8_chat,
         "op9_neardup": op9_neardup,
         "op10_toxicity": op10_toxicity,
