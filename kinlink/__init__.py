@@ -1,0 +1 @@
+"""Kinlink: record linkage and corpus preparation on Spark."""
