@@ -100,6 +100,7 @@ def learn(
     n_terms: int = 2048,
     n_factors: int = 8,
     epochs: int = 12,
+    steps: int = 800,
     held_out=None,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -135,7 +136,7 @@ def learn(
     z = (df1 / n1 - df0 / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0))
     z[df1 + df0 < 3] = 0
     strong = np.argsort(-np.abs(z), kind="stable")[: n_terms * 15 // 16]
-    strong = strong[np.abs(z[strong]) > 5]  # by chance, hardly one of a million terms
+    strong = strong[np.abs(z[strong]) > 4.5]  # by chance, a few of a million terms
     often = np.argsort(-(df1 + df0), kind="stable")[: n_terms // 16]
     places = np.union1d(strong, often[(df1 + df0)[often] > 0])
     if not len(places):
@@ -151,8 +152,10 @@ def learn(
     bias = float(np.log(sizes[1] / sizes[0]))
     w, v = np.zeros(len(places)), rng.normal(0, 0.01, (len(places), n_factors))
     gb, gw, gv = 1e-8, np.full(len(places), 1e-8), np.full(v.shape, 1e-8)
-    rate, decay = 0.1, 1e-3
-    for _ in range(epochs):
+    rate = 0.1
+    # Priors, as penalties on the mean loss; terms chosen only for their pairs must earn their weights.
+    decay = np.where(np.isin(places, strong), 1.0, 30.0) / len(y)
+    for _ in range(max(epochs, -(-steps * 128 // len(y)))):  # a few rows are seen more often
         order = rng.permutation(len(y))
         for at in range(0, len(y), 128):
             k = order[at : at + 128]
@@ -160,8 +163,8 @@ def learn(
             xv = xb @ v
             logit = bias + xb @ w + 0.5 * ((xv**2).sum(1) - xb @ (v**2).sum(1))
             slope = weight[k] * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y[k]) / len(k)
-            db, dw = slope.sum(), xb.T @ slope + decay * w / 10
-            dv = xb.T @ (slope[:, None] * xv) - v * (xb.T @ slope)[:, None] + decay * v
+            db, dw = slope.sum(), xb.T @ slope + decay * w
+            dv = xb.T @ (slope[:, None] * xv) - v * (xb.T @ slope)[:, None] + 5 * decay[:, None] * v
             gb, gw, gv = gb + db**2, gw + dw**2, gv + dv**2
             bias -= rate * db / np.sqrt(gb)
             w -= rate * dw / np.sqrt(gw)
