@@ -9,8 +9,9 @@ Candidates. Minwise hashes are dealt to bands; documents that agree on a band
 share a bucket. Buckets are never expanded into all their pairs:
 
 1. Each member is compared with the bucket's smallest id (its hub). Verified
-   links give components.
-2. In buckets that still hold several components, members outside the hub's
+   links give components. In buckets that still hold several components, this
+   is repeated with other hubs, a few times.
+2. In buckets that even then hold several components, members outside the hub's
    component (strays) are compared with members of other components, inside a
    join whose condition is the signature comparison: only survivors are rows.
 
@@ -44,10 +45,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import materialize, worker_cache
+from ._shared import materialize, remembered, small_batches
 
-BANDS, ROWS, BATCH, BATCHES = 32, 5, 64, 3
-REMEMBERED = 400_000
+BANDS, ROWS, BATCH, BATCHES, ROUNDS = 32, 5, 64, 8, 4
+REMEMBERED = 200_000
 SIGNATURE = [f"bits{k}" for k in range(BATCHES)]
 
 
@@ -71,7 +72,7 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
         return np.empty(0, np.uint64)
-    hashes = worker_cache().setdefault("word_hashes", WordHashes())
+    hashes = remembered(("neardup", "words"), WordHashes)
     if len(hashes) >= REMEMBERED:
         hashes.clear()
     h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
@@ -88,19 +89,20 @@ class Signer:
     def __init__(self, bands: int, rows: int, seed: int = 9):
         rng = np.random.default_rng(seed)
         self.bands, self.rows = bands, rows
-        n = max(bands * rows, BATCH * BATCHES)
+        n = max(bands * rows, BATCH * BATCHES // 2)
         self.a = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
         self.b = rng.integers(0, 1 << 63, n, np.uint64)
         self.band_seed = _mix(np.arange(1, bands + 1, dtype=np.uint64))
 
     def sign(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        least = np.full(len(self.a), np.iinfo(np.uint64).max, np.uint64)
-        for at in range(0, len(shingles), 1024):
-            x = shingles[at : at + 1024, None] * self.a + self.b
-            np.minimum(least, x.min(0), out=least)
-        least = _mix(least >> np.uint64(16))
+        least = np.full(2 * len(self.a), np.iinfo(np.uint32).max, np.uint32)
+        for at in range(0, len(shingles), 256):
+            x = shingles[at : at + 256, None] * self.a + self.b
+            np.minimum(least, x.view(np.uint32).min(0), out=least)  # each half is a minwise hash
+        least = _mix(least.astype(np.uint64))
+        halves = least[1::2]  # the upper halves make the bands
         keys = self.band_seed.copy()
-        grid = least[: self.bands * self.rows].reshape(self.bands, self.rows)
+        grid = halves[: self.bands * self.rows].reshape(self.bands, self.rows)
         for j in range(self.rows):
             keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + grid[:, j])
         bits = (least[: BATCH * BATCHES] & np.uint64(1)).astype(np.uint8)
@@ -229,6 +231,7 @@ def near_duplicates(
     miss: float = 1e-6,
     bands: int = BANDS,
     rows: int = ROWS,
+    rounds: int = ROUNDS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -236,7 +239,7 @@ def near_duplicates(
     if not 1 <= percent <= 100:
         raise ValueError("percent must be from 1 to 100")
     bounds = least_matches(percent / 100, miss)
-    signed = materialize(features(docs, width, bands, rows, id_col, text_col), "signed")
+    signed = materialize(features(small_batches(docs), width, bands, rows, id_col, text_col), "signed")
     usable = signed.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
     classes = materialize(usable.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
     reps = usable.join(
@@ -251,28 +254,40 @@ def near_duplicates(
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = materialize(slim.join(involved.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), "texts")
     bits = materialize(
-        reps.select(F.col("doc_id").alias("id"), *SIGNATURE).join(involved, "id", "left_semi"), "signatures"
+        reps.select(F.col("doc_id").alias("id"), *SIGNATURE, "keys").join(involved, "id", "left_semi"), "signatures"
     )
 
-    # Round 1: every member with its hub.
-    pairs = buckets.where("id <> hub").select("id", "hub").distinct()
-    one = pairs.join(bits.alias("x"), "id").select("id", "hub", *[F.col(f"x.{s}") for s in SIGNATURE]).alias("x")
-    two = bits.withColumnRenamed("id", "hub").alias("y")
-    near = one.join(two, (F.col("x.hub") == F.col("y.hub")) & _alike("x", "y", bounds))
-    near = near.select(F.col("x.id").alias("a"), F.col("x.hub").alias("b"))
-    links = materialize(verify(near, texts, width, percent), "links")
-    labels = components(links)
+    def links_of(pairs: DataFrame) -> DataFrame:
+        """Of pairs ``id, hub``: those alike by signature, then by their whole sets."""
+        one = pairs.join(bits.alias("x"), "id").select("id", "hub", *[F.col(f"x.{s}") for s in SIGNATURE]).alias("x")
+        two = bits.select(F.col("id").alias("hub"), *SIGNATURE).alias("y")
+        near = one.join(two, (F.col("x.hub") == F.col("y.hub")) & _alike("x", "y", bounds))
+        near = near.select(F.col("x.id").alias("a"), F.col("x.hub").alias("b"))
+        return materialize(verify(near, texts, width, percent), "links")
 
-    # Round 2: strays, in buckets that hold several components.
-    member = buckets.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "hub", F.coalesce("label", "id").alias("comp")
-    )
-    member = materialize(member, "members")
-    mixed = member.groupBy("key").agg(
-        F.min_by("comp", "id").alias("hub_comp"), F.min("comp").alias("low"), F.max("comp").alias("high")
-    )
-    mixed = mixed.where("low <> high").select("key", "hub_comp")
-    split = materialize(member.join(mixed, "key").join(bits, "id"), "mixed").where("id <> hub")
+    links = links_of(buckets.where("id <> hub").select("id", "hub").distinct())
+    labels = components(links)
+    split = buckets.select("key", "id")
+    for turn in range(1, rounds + 2):
+        named = split.join(labels.withColumnRenamed("node", "id"), "id", "left")
+        named = materialize(named.select("key", "id", F.coalesce("label", "id").alias("comp")), "members")
+        hubs = named.groupBy("key").agg(
+            F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(turn))).alias("hub"),
+            F.min("comp").alias("low"),
+            F.max("comp").alias("high"),
+        )
+        hubs = hubs.where("low <> high").select("key", F.col("hub.id").alias("hub"), F.col("hub.comp").alias("hub_comp"))
+        split = materialize(named.join(hubs, "key"), "mixed")
+        if turn > rounds or split.isEmpty():
+            break
+        fresh = links_of(split.where("comp <> hub_comp").select("id", "hub").distinct())
+        split = split.select("key", "id")
+        if not fresh.isEmpty():
+            links = materialize(links.unionByName(fresh), "links")
+            labels = components(links)
+
+    # Strays with all members of other components.
+    split = split.join(bits, "id")
     stray = split.where("comp <> hub_comp").alias("s")
     rest = split.alias("m")
     fresh = stray.join(
@@ -280,7 +295,8 @@ def near_duplicates(
         (F.col("s.key") == F.col("m.key"))
         & (F.col("s.comp") != F.col("m.comp"))
         & ((F.col("m.comp") == F.col("m.hub_comp")) | (F.col("s.id") < F.col("m.id")))
-        & _alike("s", "m", bounds),
+        & _alike("s", "m", bounds)
+        & (F.array_min(F.array_intersect("s.keys", "m.keys")) == F.col("s.key")),  # in one common bucket only
     )
     fresh = fresh.select(F.least("s.id", "m.id").alias("b"), F.greatest("s.id", "m.id").alias("a")).distinct()
     more = materialize(verify(fresh.select("a", "b"), texts, width, percent), "links")
