@@ -10,9 +10,10 @@ retrieved.
 
 Postings are sorted by item and cut into blocks with their greatest impact.
 WAND moves to the first item whose terms' bounds could reach the threshold, the
-blocks' bounds decide whether it is scored or skipped. A passage is not even
-looked up unless it holds an *essential* term: of each item, the terms of
-greatest impact without which the rest stays below the threshold.
+blocks' bounds decide whether it is scored or skipped. Passages are chosen in
+the same way, for a whole document at once: a passage is looked up only if the
+impacts of the rare terms in it can, with all common terms added, lift some
+item to the threshold.
 
 Retrieved items are verified on the passage: the share of the question's
 shingles (five words) and the share of the answer's words, in runs of at least
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ._shared import worker_cache
+from ._shared import remembered, small_batches
 
 WORDS = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 K1, B = 1.2, 0.75
@@ -87,27 +88,62 @@ class Index:
         mean = sum(len(w) for _, _, w in items) / max(1, len(items))
         self.vocabulary = {t: k for k, t in enumerate(held)}
         self.postings: list[tuple[list[int], list[float]]] = [([], []) for _ in held]
-        self.essential = np.zeros(len(held) + 1, bool)  # the last place is for all other words
         for n, (_, _, w) in enumerate(items):
             impact = {}
             for t, tf in Counter(w).items():
                 idf = math.log(1 + (len(items) - held[t] + 0.5) / (held[t] + 0.5))
                 impact[t] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / mean))
             whole = sum(impact.values())
-            rest = 1.0
-            for t, x in sorted(impact.items(), key=lambda e: (-e[1], e[0])):
+            for t, x in impact.items():
                 k = self.vocabulary[t]
                 self.postings[k][0].append(n)
                 self.postings[k][1].append(x / whole)
-                if rest >= threshold - 1e-9:
-                    self.essential[k] = True
-                    rest -= x / whole
+        self._tiers(len(items))
         self.most = [max(x) for _, x in self.postings]
         self.blocks = [
             [(p[0][min(at + BLOCK, len(p[0])) - 1], max(p[1][at : at + BLOCK])) for at in range(0, len(p[0]), BLOCK)]
             for p in self.postings
         ]
 
+    def _tiers(self, n_items: int) -> None:
+        """Rare terms as flat arrays; what each item's rare terms must give for it to reach the threshold."""
+        df = np.array([len(p[0]) for p in self.postings], np.int64)
+        owner = np.repeat(np.arange(len(df)), df)
+        flat = np.array([i for p in self.postings for i in p[0]], np.int64)
+        impact = np.array([x for p in self.postings for x in p[1]], np.float64)
+        most = 0
+        for most in sorted(set(df.tolist())):  # the fewest postings that leave little to common terms
+            common = np.bincount(flat, impact * (df[owner] > most), n_items) if n_items else np.zeros(0)
+            if not n_items or common.max() <= self.threshold / 2:
+                break
+        self.need = (self.threshold - common if n_items else np.zeros(0)) - 1e-9
+        self.rare_df = np.append(np.where(df <= most, df, 0), 0)  # the last place is for all other words
+        self.rare_at = np.append(np.cumsum(df) - df, 0)
+        self.flat, self.impact = flat, impact
+
+    def windows(self, numbers: np.ndarray) -> np.ndarray:
+        """The passages in which some item's rare terms can lift it to the threshold.
+
+        Passage ``k`` is blocks ``k`` and ``k + 1`` of ``stride`` words. Every
+        occurrence counts, so this is an upper bound.
+        """
+        count = self.rare_df[numbers]
+        at = np.flatnonzero(count)
+        if not len(at):
+            return at
+        count, n = count[at], len(self.ids)
+        first = np.repeat(self.rare_at[numbers[at]] - (np.cumsum(count) - count), count)
+        where = first + np.arange(len(first))
+        key = np.repeat(at // self.stride, count) * n + self.flat[where]
+        keys, inverse = np.unique(key, return_inverse=True)
+        here = np.bincount(inverse, self.impact[where])
+        beside = np.searchsorted(keys, keys + n).clip(0, len(keys) - 1)
+        both = here + np.where(keys[beside] == keys + n, here[beside], 0.0)
+        need = self.need[keys % n]
+        blocks = keys // n
+        found = np.concatenate([blocks[both >= need], blocks[here >= need] - 1])
+        return np.unique(found[found >= 0])
+
     def retrieve(self, terms: list[int]) -> list[tuple[int, float]]:
         """All (item, score) at or above the threshold, by block-max WAND."""
         least, end = self.threshold - 1e-9, len(self.ids)
@@ -187,12 +223,8 @@ class Index:
         if not words or not self.ids:
             return []
         numbers = np.fromiter(map(self.vocabulary.get, words, repeat(-1)), np.int64, len(words))
-        essential = np.flatnonzero(self.essential[numbers])
-        if not len(essential):
-            return []
         s, best = self.stride, {}
-        windows = np.unique(np.concatenate([essential // s, np.maximum(essential // s - 1, 0)]))
-        for k in windows.tolist():
+        for k in self.windows(numbers).tolist():
             a, b = k * s, min((k + 2) * s, len(words))
             if k and a + s >= len(words):
                 continue  # whole in the window before
@@ -220,10 +252,8 @@ def leaks_column(
 
     @F.arrow_udf(kind)
     def find(texts: pa.Array) -> pa.Array:
-        cache = worker_cache()
-        if ("bm25", tag) not in cache:
-            cache["bm25", tag] = Index(items, threshold, least_question, least_answer)
-        return pa.array([cache["bm25", tag].leaks(t.as_py()) for t in texts], arrow)
+        index = remembered(("bm25", tag), lambda: Index(items, threshold, least_question, least_answer))
+        return pa.array([index.leaks(t.as_py()) for t in texts], arrow)
 
     return find(text.cast("string"))
 
@@ -253,7 +283,7 @@ def find_leaks(
     found = None
     for own in item_parts(items, part):
         column = leaks_column(F.col(text_col), own, threshold, least_question, least_answer)
-        some = docs.select(F.col(id_col).alias("doc_id"), F.explode(column).alias("leak")).select("doc_id", "leak.*")
+        some = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.explode(column).alias("leak")).select("doc_id", "leak.*")
         found = some if found is None else found.unionByName(some)
     return found
 
@@ -269,5 +299,5 @@ def without_leaks(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, whose text leaks no item."""
     for own in item_parts(items, part):
-        docs = docs.where(F.size(leaks_column(F.col(text_col), own, threshold, least_question, least_answer)) == 0)
+        docs = small_batches(docs).where(F.size(leaks_column(F.col(text_col), own, threshold, least_question, least_answer)) == 0)
     return docs
