@@ -32,16 +32,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import worker_cache
+from ._shared import remembered, small_batches
 
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters whose classes do not depend on the Unicode version; others are split by the library.
 SETTLED = "\x00-՗֐-ࢇऀ-౛Ḁ-ỿ -⁯℀-⅏←-⋿　-ヿ一-鿿가-힣"
-REMEMBERED = 400_000
+REMEMBERED = 350_000
 DECODED = 1 << 20
 SHIFT = 24  # a pair of tokens as one number
 ENDINGS = (".", ",", ";", ":", "!", "?")  # each is a piece of its own after a letter
-ADJACENT = re.compile(r"\s |\s{2}| \s")
+OTHER_SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace() and c not in (0x20, 0x0A))
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -52,22 +52,36 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Spaced(dict):
-    """word -> packed ids of the word with a space before it, found when first asked for."""
+    """word -> packed ids of the word with a space before it, found when first asked for.
+
+    Two generations, each of at most ``REMEMBERED`` words: frequent words move
+    to the new one before the old one is dropped.
+    """
 
     def __init__(self, bpe: Bpe):
         super().__init__()
-        self.bpe = bpe
+        self.bpe, self.old = bpe, {}
 
     def __missing__(self, word: str) -> bytes:
-        bpe = self.bpe
-        plain = word.isascii() or not bpe.unsettled.search(word)
-        if plain and word.isalpha():
-            ids = bpe.encode_piece(" " + word)
-        elif plain and word[-1:] in ENDINGS and word[:-1].isalpha():
-            ids = self[word[:-1]] + bpe.encode_plain(word[-1:])
-        else:
-            ids = bpe.encode_plain(" " + word)
-        if len(word) < 64 and len(self) <= REMEMBERED:  # texts with no end of new words stay within bounds
+        if (ids := self.old.get(word)) is None:
+            bpe = self.bpe
+            plain = word.isascii() or not bpe.unsettled.search(word)
+            if plain and word.isalpha():
+                ids = bpe.encode_piece(" " + word)
+            elif plain and word[-1:] in ENDINGS and word[:-1].isalpha():
+                ids = self[word[:-1]] + bpe.endings[word[-1]]
+                if len(word) > 7:
+                    return ids
+            elif plain and word.count("\n") == 1 and word[0] != "\n" and word[-1] != "\n":
+                # A line end between two characters that are no white space is a piece.
+                before, after = word.split("\n")
+                return self[before] + bpe.endings["\n"] + bpe.encode_plain(after)
+            else:
+                return bpe.encode_plain(" " + word)
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        if len(word) < 64:
             self[word] = ids
         return ids
 
@@ -114,6 +128,7 @@ class Bpe:
         self.fits: dict[int, bool] = {}  # the pair-compatibility table, filled when first asked for
         self.known: dict[str, bytes] = {}  # piece -> its ids, packed
         self.spaced = Spaced(self)
+        self.endings = {c: self.encode_piece(c) for c in [*ENDINGS, "\n"]}
         # The offset table: bytes of token i stand at blob[start[i]:start[i + 1]].
         shown = {i: s.encode("latin-1") for s, i in ids.items()} | {i: s.encode() for s, i in self.special.items()}
         self.table_size = max(shown) + 1
@@ -192,8 +207,14 @@ class Bpe:
     def encode_plain(self, text: str) -> bytes:
         """The packed ids of a text that holds no special string."""
         known, out = self.known, []
-        for p in self.split(text):
-            if (ids := known.get(p)) is None:
+        if text.isalpha() and text.isascii():
+            pieces = [text]
+        else:
+            pieces = self.split(text)
+        for p in pieces:
+            if p[0] == " " and p[1:].isalpha() and (p.isascii() or not self.unsettled.search(p)):
+                ids = self.spaced[p[1:]]
+            elif (ids := known.get(p)) is None:
                 ids = self.encode_piece(p)
                 if len(known) < REMEMBERED // 4 and len(p) < 64:
                     known[p] = ids
@@ -207,16 +228,15 @@ class Bpe:
         for k, part in enumerate(parts):
             if k % 2:
                 out.append(array("i", [self.special[part]]).tobytes())
-            elif ADJACENT.search(part) or not part:
+                continue
+            words = part.split(" ")
+            if "" in words or "\n \n" in part or any(c in part for c in OTHER_SPACES):
                 out.append(self.encode_plain(part))
             else:
-                # A space between two characters that are no white space always begins a
-                # piece, so words can be looked up with the space before them.
-                first, *words = part.split(" ")
-                out.append(self.encode_plain(first))
-                out.extend(map(self.spaced.__getitem__, words))
-        if len(self.spaced) > REMEMBERED:
-            self.spaced.clear()
+                # White space stands alone here but for line ends, so every space begins
+                # a piece, and words can be looked up with the space before them.
+                out.append(self.encode_plain(words[0]))
+                out.extend(map(self.spaced.__getitem__, words[1:]))
         if len(self.known) >= REMEMBERED // 4:
             self.known.clear()
         return np.frombuffer(b"".join(out), np.int32)
@@ -240,10 +260,7 @@ class Bpe:
 
 
 def load(path: str) -> Bpe:
-    cache = worker_cache()
-    if ("bpe", path) not in cache:
-        cache["bpe", path] = Bpe(path)
-    return cache["bpe", path]
+    return remembered(("bpe", path), lambda: Bpe(path))
 
 
 def encode_column(text: Column, vocabulary: str) -> Column:
@@ -263,6 +280,25 @@ def encode_column(text: Column, vocabulary: str) -> Column:
     return encode(F.coalesce(text.cast("string"), F.lit("")))
 
 
+def round_trip_column(text: Column, vocabulary: str) -> Column:
+    """A struct of the token ids of ``text`` and of the text decoded from these ids.
+
+    One function for both, as two chained ones would be planned to encode twice.
+    """
+    kind = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.StringType())])
+
+    @F.arrow_udf(kind)
+    def both(texts: pa.Array) -> pa.Array:
+        bpe = load(vocabulary)
+        lists = [bpe.encode(t.as_py() or "") for t in texts]
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+        values = np.concatenate(lists) if lists else np.empty(0, np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
+        return pa.StructArray.from_arrays([ids, pa.array([bpe.decode(x) for x in lists], pa.string())], ["ids", "decoded"])
+
+    return both(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def decode_column(ids: Column, vocabulary: str) -> Column:
     """The text that a list of token ids stands for."""
 
@@ -275,9 +311,13 @@ def decode_column(ids: Column, vocabulary: str) -> Column:
 
 
 def encode_documents(
-    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False
 ) -> DataFrame:
-    """``doc_id, ids, n_tokens`` per row; no shuffle, no state beyond the row."""
+    """``doc_id, ids, n_tokens`` per row, with ``decode`` also ``decoded``; no shuffle, no state beyond the row."""
+    docs = small_batches(docs)
+    if decode:
+        both = docs.select(F.col(id_col).alias("doc_id"), round_trip_column(F.col(text_col), vocabulary).alias("both"))
+        return both.select("doc_id", "both.*").withColumn("n_tokens", F.size("ids").cast("long"))
     return docs.select(
         F.col(id_col).alias("doc_id"), encode_column(F.col(text_col), vocabulary).alias("ids")
     ).withColumn("n_tokens", F.size("ids").cast("long"))

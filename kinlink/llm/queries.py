@@ -21,8 +21,8 @@ def _vocabulary(name: str) -> str:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _vocabulary("byte_bpe_50k.json")
-    encoded = bpe.encode_documents(_table(spark, sf_dir, "documents"), path)
-    return bpe.with_digests(bpe.decode_documents(encoded, path)).drop("ids", "decoded")
+    encoded = bpe.encode_documents(_table(spark, sf_dir, "documents"), path, decode=True)
+    return bpe.with_digests(encoded).drop("ids", "decoded")
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
