@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import types
 import uuid
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +26,35 @@ def worker_cache() -> dict:
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
 
 
+def remembered(key: tuple, build: Callable):
+    """What ``build`` made for ``key`` in this Python worker.
+
+    Models of another kind (the key's first part) are dropped first: a worker
+    serves one operator after the other and must not hold all their models.
+    """
+    cache = worker_cache()
+    if key not in cache:
+        others = [k for k in cache if isinstance(k, tuple) and k[0] != key[0]]
+        for k in others:
+            del cache[k]
+        if others:
+            gc.collect()
+        cache[key] = build()
+    return cache[key]
+
+
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """Lower the session's Arrow batches to ``rows`` where nothing smaller is set.
+
+    Whole texts travel in these batches, so the default of 10,000 rows would
+    decide the memory of executors and workers.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= rows:
+        conf.set(name, str(rows))
+    return df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 

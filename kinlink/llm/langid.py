@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import crc_of_id, worker_cache
+from ._shared import crc_of_id, remembered, small_batches
 
 BITS = 6
 CLASSES = 1 << BITS
@@ -41,16 +41,17 @@ BLOCK = 1 << 20
 
 def class_table() -> np.ndarray:
     """Code point -> class; 0 is everything that is no letter."""
-    cache = worker_cache()
-    if "letters" not in cache:
+
+    def build() -> np.ndarray:
         table = np.zeros(0x110000, np.uint8)
         for cp in range(0x110000):
             c = chr(cp)
             if c.isalpha():
                 low = ord(c.lower()[0])
                 table[cp] = low - 96 if 97 <= low <= 122 else 27 + low % 37
-        cache["letters"] = table
-    return cache["letters"]
+        return table
+
+    return remembered(("langid", "letters"), build)
 
 
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +100,7 @@ def learn_profiles(
     lang_col: str = "lang",
 ) -> dict[str, list[int]]:
     """language -> its n-grams by rank, from rows that are not ``held_out``."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     held = F.pmod(crc_of_id("id"), F.lit(4)) == 2 if held_out is None else held_out
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held)
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -157,10 +158,8 @@ def language_column(text: Column, profiles: dict[str, list[int]], top: int = 400
 
     @F.arrow_udf(kind)
     def predict(texts: pa.Array) -> pa.Array:
-        cache = worker_cache()
-        if ("langid", tag) not in cache:
-            cache["langid", tag] = Identifier(profiles, top)
-        found = [cache["langid", tag].predict(t.as_py()) for t in texts]
+        identifier = remembered(("langid", tag), lambda: Identifier(profiles, top))
+        found = [identifier.predict(t.as_py()) for t in texts]
         return pa.StructArray.from_arrays(
             [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
             ["lang_pred", "score"],
@@ -174,7 +173,7 @@ def identify_languages(
 ) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` per row."""
     held = F.coalesce(F.pmod(crc_of_id(id_col), F.lit(4)) == 2, F.lit(False))
-    return docs.select(
+    return small_batches(docs).select(
         F.col(id_col).alias("doc_id"),
         held.alias("held_out"),
         language_column(F.col(text_col), profiles, top).alias("found"),

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import worker_cache
+from ._shared import remembered, small_batches
 
 #: Phrases whose every place is counted, and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -141,16 +141,14 @@ def license_column(text: Column, base: dict[str, str] | None = None, notices=Non
 
     @F.arrow_udf(kind)
     def scan(texts: pa.Array) -> pa.Array:
-        cache, key = worker_cache(), ("licenses", str(base), str(notices))
-        if key not in cache:
-            cache[key] = Scanner(base, notices)
-        return pa.array([cache[key].scan(t.as_py()) for t in texts], arrow)
+        scanner = remembered(("licenses", str(base), str(notices)), lambda: Scanner(base, notices))
+        return pa.array([scanner.scan(t.as_py()) for t in texts], arrow)
 
     return scan(text.cast("string"))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans`` per row."""
-    return docs.select(
+    return small_batches(docs).select(
         F.col(id_col).alias("doc_id"), license_column(F.col(text_col), **how).alias("found")
     ).select("doc_id", "found.*")

@@ -29,7 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import materialize, shared_path, text_or_empty, worker_cache
+from ._shared import materialize, remembered, shared_path, small_batches, text_or_empty
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 
@@ -46,21 +46,21 @@ def tokenizer_digest(path: str) -> str:
 
 def counter(path: str) -> Callable[[str], int]:
     """text -> number of tokens, without begin, end or added special tokens."""
-    cache = worker_cache()
-    if ("count", path) not in cache:
+
+    def build() -> Callable[[str], int]:
         if path.endswith(".model"):
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
-            cache["count", path] = lambda text: len(model.encode(text, add_bos=False, add_eos=False))
-        else:
-            from tokenizers import Tokenizer
+            return lambda text: len(model.encode(text, add_bos=False, add_eos=False))
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(path)
+        library.no_truncation()
+        library.no_padding()
+        return lambda text: len(library.encode(text, add_special_tokens=False).ids)
 
-            library = Tokenizer.from_file(path)
-            library.no_truncation()
-            library.no_padding()
-            cache["count", path] = lambda text: len(library.encode(text, add_special_tokens=False).ids)
-    return cache["count", path]
+    return remembered(("count", path), build)
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
@@ -80,7 +80,7 @@ def count_tokens(
     normalise: Callable[[str], Column] = text_or_empty,
 ) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` per row."""
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     version = tokenizer_digest(tokenizer)
     cache_path = cache_path or shared_path(spark, "token-cache")
     content = F.unhex(F.sha2(normalise(text_col).cast("binary"), 256))

@@ -33,11 +33,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import crc_of_id, worker_cache
+from ._shared import crc_of_id, remembered, small_batches
 
 PLACES = 1 << 20
 WORDS = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def words_of(text: str | None) -> set[bytes]:
@@ -89,7 +89,7 @@ def _sample(docs: DataFrame, labels: DataFrame, per_class: int, held_out, id_col
     one = known.where("toxic = 1").orderBy(*order).limit(per_class)
     zero = known.where("toxic = 0").orderBy(*order).limit(per_class)
     chosen = one.unionByName(zero)  # at most 2 * per_class rows
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return texts.join(F.broadcast(chosen), "id").select("id", "toxic", "text"), sizes
 
 
@@ -179,10 +179,7 @@ def toxicity_column(text: Column, machine: Machine) -> Column:
 
     @F.arrow_udf(T.DoubleType())
     def score(texts: pa.Array) -> pa.Array:
-        cache = worker_cache()
-        if ("toxicity", tag) not in cache:
-            cache["toxicity", tag] = (Machine(*state), Terms(state[0]))
-        model, terms = cache["toxicity", tag]
+        model, terms = remembered(("toxicity", tag), lambda: (Machine(*state), Terms(state[0])))
         logits = [
             model.logit(np.array(sorted(set(chain.from_iterable(map(terms.__getitem__, words_of(t.as_py()))))), np.int64))
             for t in texts
@@ -195,6 +192,6 @@ def toxicity_column(text: Column, machine: Machine) -> Column:
 def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, score, predicted`` per row."""
     held = F.coalesce(F.pmod(crc_of_id(id_col), F.lit(5)) == 0, F.lit(False))
-    return docs.select(
+    return small_batches(docs).select(
         F.col(id_col).alias("doc_id"), held.alias("held_out"), toxicity_column(F.col(text_col), machine).alias("score")
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
