@@ -21,19 +21,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlink.llm import bpe, decontaminate, langid, neardup, toxicity
-from kinlink.llm._shared import materialize
+from kinlink.llm._shared import materialize, small_batches
 
 TOXIC, FAR, VOCABULARY = 0.5, 0.2, "byte_bpe_50k.json"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     machine = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.where(toxicity.toxicity_column(F.col("text"), machine) < TOXIC)
+    return small_batches(docs).where(toxicity.toxicity_column(F.col("text"), machine) < TOXIC)
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = langid.language_column(F.col("text"), langid.learn_profiles(docs))
-    return docs.where((found["lang_pred"] != "und") & (found["score"] >= FAR))
+    return small_batches(docs).where((found["lang_pred"] != "und") & (found["score"] >= FAR))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
-    return bpe.with_digests(bpe.decode_documents(bpe.encode_documents(docs, path), path)).drop("decoded")
+    return bpe.with_digests(bpe.encode_documents(docs, path, decode=True)).drop("decoded")
 
 
 STAGES = [
