@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,24 @@ def tagged_bigrams(s: Column) -> Column:
     return t.let(grams, lambda own: F.transform(own, lambda g, i: tag(g, i, own)))
 
 
+def _counts(s: str) -> np.ndarray:
+    raw = np.frombuffer(s.encode(), np.uint8).astype(np.int64)
+    return np.bincount(raw[:-1] * 256 + raw[1:], minlength=1 << 16)
+
+
+def _shared_bigrams(a: pa.Array, b: pa.Array) -> pa.Array:
+    pairs = zip(a.to_pylist(), b.to_pylist(), strict=True)
+    return pa.array([int(np.minimum(_counts(x), _counts(y)).sum()) for x, y in pairs], pa.int64())
+
+
+def shared_bigrams(a: Column, b: Column) -> Column:
+    """Size of the multiset intersection of the byte bigrams of texts of any length.
+
+    Linear in the text, where the tags of ``tagged_bigrams`` take quadratic time.
+    """
+    return F.arrow_udf(_shared_bigrams, "long")(a, b)
+
+
 def dice(a: Column, b: Column, tags_a: Column, tags_b: Column) -> Column:
     shared = F.size(F.array_intersect(tags_a, tags_b))
     return as_float(

@@ -687,15 +687,16 @@ _A, _B = sql.words(sql.punct("substr(coalesce(text, ''), 1, 200)")), sql.words(s
 
 
 def _token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping parts of each text as token lists: the arguments of the set functions."""
+    """All words of each text, and their two halves: the arguments of the set functions."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    part = lambda a: t.words(t.fold_punct_case(F.substring(F.coalesce("text", F.lit("")), a, 200)))
-    return docs.select("doc_id", part(1).alias("a"), part(101).alias("b"))
+    w = docs.select("doc_id", t.words(t.fold_punct_case(F.coalesce("text", F.lit("")))).alias("w"))
+    half = F.ceil(F.size("w") / 2).cast("int")
+    return w.select("doc_id", "w", F.slice("w", 1, half).alias("a"), F.slice("w", half + 1, F.size("w") - half).alias("b"))
 
 
 SETS = {
     "set_intersection": (lambda: sim.set_intersection(F.col("a"), F.col("b")).cast("long"), "len(list_intersect(a, b))"),
-    "distinct_tokens": (lambda: F.size(F.array_distinct("a")).cast("long"), "len(list_distinct(a))"),
+    "distinct_tokens": (lambda: F.size(F.array_distinct("w")).cast("long"), "len(list_distinct(a))"),
     "overlap_jaccard": (lambda: F.round(sim.jaccard(F.col("a"), F.col("b")).cast("double"), 6), f"round({sql.jaccard('a', 'b')}::DOUBLE, 6)"),
     "overlap_containment": (lambda: F.round(sim.containment(F.col("a"), F.col("b")).cast("double"), 6), f"round({sql.containment('a', 'b')}::DOUBLE, 6)"),
     "lenratio": (
@@ -703,7 +704,7 @@ SETS = {
         f"round({sql.length_ratio(sql.joined('a'), sql.joined('b'))}::DOUBLE, 6)",
     ),
     "multiset_intersection": (
-        lambda: F.size(F.array_intersect(sim.tagged_bigrams(t.join_tokens(F.col("a"))), sim.tagged_bigrams(t.join_tokens(F.col("b"))))).cast("long"),
+        lambda: sim.shared_bigrams(t.join_tokens(F.col("a")), t.join_tokens(F.col("b"))),
         f"len(list_intersect({sql.grams('ja')}, {sql.grams('jb')}))",
     ),
 }
