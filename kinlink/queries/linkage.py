@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
 from ..functions import text as t
-from ..operators import blocking, classifier, features, metrics, records, validate
+from ..operators import blocking, classifier, features, metrics, records, setjoin, validate
 from ..sources import tsv
 from . import sql
 
@@ -92,17 +92,13 @@ def prepared(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ready.where("source = 'S1'"), ready.where("source <> 'S1'")
 
 
-def document_links(spark: SparkSession, sf_dir: str, hits: DataFrame) -> DataFrame:
-    """Pairs that share a key and half of the words of their whole texts."""
+def document_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a language that share half of the words of their whole texts, whether retrieval finds them or not."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     w = F.array_distinct(F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), "[ \t\r\n]+"), lambda x: x != ""))
     kind = F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"), F.lit("-"), F.col("doc_id").cast("string"))
-    sets = docs.select(kind.alias("id"), w.alias("w"))
-    both = hits.join(sets.select(F.col("id").alias("ref_id"), F.col("w").alias("a")), "ref_id").join(
-        sets.select(F.col("id").alias("target_id"), F.col("w").alias("b")), "target_id"
-    )
-    shared = F.size(F.array_intersect("a", "b"))
-    return both.where(2 * shared >= F.size("a") + F.size("b") - shared).select("ref_id", "target_id")
+    sets = setjoin.rarest_first(docs.select(kind.alias("id"), F.coalesce("lang", F.lit("")).alias("part"), w.alias("words")))
+    return setjoin.half_alike(sets.where("id LIKE 'S1-%'"), sets.where("id NOT LIKE 'S1-%'"))
 
 
 class Corpus:
@@ -119,12 +115,15 @@ class Corpus:
         self.hits = blocking.candidate_hits(blocking.hashed(self.postings), blocking.hashed(self.target_keys))
         self.pairs = blocking.plausible_pairs(self.hits, self.refs, self.targets)
         self.candidates = blocking.top_candidates(self.pairs, k)
+        self._links: DataFrame | None = None
 
     def features(self) -> DataFrame:
         return features.pair_features(self.candidates, self.refs, self.targets)
 
     def links(self) -> DataFrame:
-        return company_links(self.spark) if self.companies else document_links(self.spark, self.sf_dir, self.hits)
+        if self._links is None:
+            self._links = company_links(self.spark) if self.companies else document_links(self.spark, self.sf_dir)
+        return self._links
 
     def entity_table(self) -> DataFrame:
         return metrics.entity_table(self.refs, self.links()).join(self.refs.select(F.col("id").alias("ref_id"), "ord"), "ref_id")
