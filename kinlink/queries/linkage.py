@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity as sim
 from ..functions import text as t
 from ..operators import blocking, classifier, features, metrics, records, setjoin, validate
+from ..plans.linkage import OPTIONS
 from ..sources import tsv
 from . import sql
 
@@ -719,19 +720,32 @@ for _name, (_build, _duck) in SETS.items():
 # --- models (no SQL) ------------------------------------------------------------------------------
 
 
-def _trained(spark: SparkSession, iterations: int = 8) -> tuple:
-    c = Corpus(spark, "", companies=True)
-    entities = c.entity_table()
+def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The entities of the documents, and all candidate pairs with features, label and split."""
+    c = Corpus(spark, sf_dir)
+    entities = c.entity_table().persist()
     pairs = metrics.label_pairs(c.features(), c.links()).join(entities.select("ref_id", "split"), "ref_id")
-    pairs = classifier.assemble(pairs).persist()
-    model = classifier.fit(pairs.where("split = 'fitting'"), iterations)
-    return c, entities, pairs, model
+    return entities, classifier.assemble(pairs).persist()
+
+
+def _trees(pairs: DataFrame) -> tuple:
+    """As in training: all trees on the fitting split, and how many of them the tuning split asks for."""
+    model = classifier.fit(pairs.where("split = 'fitting'"), OPTIONS["iterations"])
+    return model, classifier.best_iterations(model, pairs.where("split = 'tuning'"))
+
+
+def _trained(spark: SparkSession, sf_dir: str) -> tuple:
+    entities, pairs = _labelled(spark, sf_dir)
+    model, trees = _trees(pairs)
+    if trees < OPTIONS["iterations"]:
+        model = classifier.fit(pairs.where("split = 'fitting'"), trees)
+    return entities, pairs, model
 
 
 @register("fit_classifier")
 def fit_classifier(spark, sf_dir):
-    """Probabilities of all company pairs by boosted trees fitted on the fitting split."""
-    _, _, pairs, model = _trained(spark)
+    """Probabilities of all candidate pairs by boosted trees fitted on the fitting split."""
+    _, pairs, model = _trained(spark, sf_dir)
     return classifier.score(model, pairs).select("ref_id", "target_id", "label", "probability")
 
 
@@ -741,21 +755,21 @@ SPARK["predict_proba"] = SPARK["batch_score"] = SPARK["fit_classifier"]
 @register("refit_final")
 def refit_final(spark, sf_dir):
     """The tree count chosen on the tuning split, refitted on all pairs."""
-    _, _, pairs, model = _trained(spark)
-    trees = classifier.best_iterations(model, pairs.where("split = 'tuning'"))
+    _, pairs = _labelled(spark, sf_dir)
+    _, trees = _trees(pairs)
     return classifier.score(classifier.fit(pairs, trees), pairs).select("ref_id", "target_id", "probability")
 
 
 @register("feature_importance")
 def feature_importance(spark, sf_dir):
-    _, _, _, model = _trained(spark)
+    _, _, model = _trained(spark, sf_dir)
     return spark.createDataFrame(list(classifier.importance(model).items()), "feature string, importance double")
 
 
 @register("model_report")
 def model_report(spark, sf_dir):
-    """The holdout report of the company pairs, at the threshold tuned on the tuning split."""
-    _, entities, pairs, model = _trained(spark)
+    """The report of the splits, at the threshold tuned on the tuning split."""
+    entities, pairs, model = _trained(spark, sf_dir)
     scored = classifier.score(model, pairs).select("ref_id", "target_id", "label", "probability").persist()
     best = metrics.choose_threshold(entities, scored).head()
     return metrics.describe(metrics.score_entities(entities, scored, best["threshold"]), "split")
