@@ -33,6 +33,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from copy import copy
 from itertools import repeat
 
 import numpy as np
@@ -73,25 +74,51 @@ def shingles(words: list[bytes]) -> set[tuple[bytes, ...]]:
     return set(zip(*[words[j:] for j in range(k)], strict=False)) if k else set()
 
 
+class Totals:
+    """Number, mean and greatest length of all items, and how many of them hold a word."""
+
+    def __init__(self, items: list[tuple[int, str]]):
+        self.held: Counter[bytes] = Counter()
+        lengths = []
+        for _, text in items:
+            if words := words_of(text):
+                self.held.update(set(words))
+                lengths.append(len(words))
+        self.count, self.mean, self.stride = len(lengths), sum(lengths) / max(1, len(lengths)), max([1, *lengths])
+
+    def of(self, items: list[tuple[int, str]]) -> Totals:
+        """The same, with only the words of ``items``."""
+        own = copy(self)
+        own.held = Counter({w: self.held[w] for _, text in items for w in words_of(text)})
+        return own
+
+    def key(self) -> tuple:
+        return self.count, self.mean, self.stride, hash(frozenset(self.held.items()))
+
+
 class Index:
-    """BM25 postings of the items, with block bounds."""
+    """BM25 postings of the items, with block bounds.
+
+    ``totals`` are those of all items where these are only a part, so that scores do not depend on the parts.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float, least_question: float, least_answer: float):
+    def __init__(
+        self, items: list[tuple[int, str]], threshold: float, least_question: float, least_answer: float, totals: Totals | None = None
+    ):
+        totals = totals or Totals(items)
         self.threshold, self.limits = threshold, (least_question, least_answer)
         items = [(i, t, words_of(t)) for i, t in items]
         items = [(i, t, w) for i, t, w in items if w]
         self.ids = [i for i, _, _ in items]
         self.parts = [question_and_answer(t) for _, t, _ in items]
         self.questions = [shingles(q) for q, _ in self.parts]
-        self.stride = max([1, *(len(w) for _, _, w in items)])
-        held = Counter(t for _, _, w in items for t in set(w))
-        mean = sum(len(w) for _, _, w in items) / max(1, len(items))
-        self.vocabulary = {t: k for k, t in enumerate(held)}
-        self.postings: list[tuple[list[int], list[float]]] = [([], []) for _ in held]
+        self.stride, held, mean = totals.stride, totals.held, totals.mean
+        self.vocabulary = {t: k for k, t in enumerate(dict.fromkeys(t for _, _, w in items for t in w))}
+        self.postings: list[tuple[list[int], list[float]]] = [([], []) for _ in self.vocabulary]
         for n, (_, _, w) in enumerate(items):
             impact = {}
             for t, tf in Counter(w).items():
-                idf = math.log(1 + (len(items) - held[t] + 0.5) / (held[t] + 0.5))
+                idf = math.log(1 + (totals.count - held[t] + 0.5) / (held[t] + 0.5))
                 impact[t] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / mean))
             whole = sum(impact.values())
             for t, x in impact.items():
@@ -244,29 +271,30 @@ class Index:
 
 
 def leaks_column(
-    text: Column, items: list[tuple[int, str]], threshold: float, least_question: float, least_answer: float
+    text: Column, items: list[tuple[int, str]], threshold: float, least_question: float, least_answer: float, totals: Totals | None = None
 ) -> Column:
     kind = T._parse_datatype_string(RESULT)
     arrow = to_arrow_type(kind)
-    tag = (hash(tuple(items)), threshold, least_question, least_answer)
+    tag = (hash(tuple(items)), threshold, least_question, least_answer, totals and totals.key())
 
     @F.arrow_udf(kind)
     def find(texts: pa.Array) -> pa.Array:
-        index = remembered(("bm25", tag), lambda: Index(items, threshold, least_question, least_answer))
+        index = remembered(("bm25", tag), lambda: Index(items, threshold, least_question, least_answer, totals))
         return pa.array([index.leaks(t.as_py()) for t in texts], arrow)
 
     return find(text.cast("string"))
 
 
-def item_parts(items: DataFrame, part: int) -> list[list[tuple[int, str]]]:
-    """The items on the driver, ``part`` at a time."""
+def item_parts(items: DataFrame, part: int) -> list[tuple[list[tuple[int, str]], Totals]]:
+    """The items on the driver, ``part`` at a time, each with the totals of all."""
     rows = items.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), "text")
     parts: list[list[tuple[int, str]]] = [[]]
     for r in rows.orderBy("item_id", "text").toLocalIterator():
         if len(parts[-1]) == part:
             parts.append([])
         parts[-1].append((r[0], r[1]))
-    return parts
+    totals = Totals([x for own in parts for x in own])
+    return [(own, totals.of(own)) for own in parts]
 
 
 def find_leaks(
@@ -281,8 +309,8 @@ def find_leaks(
 ) -> DataFrame:
     """``doc_id, item_id, score, question, answer``: one row per document row and leaked item."""
     found = None
-    for own in item_parts(items, part):
-        column = leaks_column(F.col(text_col), own, threshold, least_question, least_answer)
+    for own, totals in item_parts(items, part):
+        column = leaks_column(F.col(text_col), own, threshold, least_question, least_answer, totals)
         some = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.explode(column).alias("leak")).select("doc_id", "leak.*")
         found = some if found is None else found.unionByName(some)
     return found
@@ -298,6 +326,6 @@ def without_leaks(
     text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, all columns, whose text leaks no item."""
-    for own in item_parts(items, part):
-        docs = small_batches(docs).where(F.size(leaks_column(F.col(text_col), own, threshold, least_question, least_answer)) == 0)
+    for own, totals in item_parts(items, part):
+        docs = small_batches(docs).where(F.size(leaks_column(F.col(text_col), own, threshold, least_question, least_answer, totals)) == 0)
     return docs
