@@ -59,11 +59,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     Read from ``spark.checkpoint.dir``; a folder of our own is made only where
-    that is unset (a single machine, as in tests).
+    that is unset and Spark runs on one machine, as in tests. On a cluster a
+    missing setting is an error: a machine's own folder would lose rows.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not _FALLBACK_DIR:
         _FALLBACK_DIR.append("file://" + tempfile.mkdtemp(prefix="kinlink-"))
     return _FALLBACK_DIR[0]
@@ -84,6 +88,25 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The intermediate tables of one call, in a folder of their own that ``clear`` deletes."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root, self.count = spark, shared_path(spark, "scratch"), 0
+
+    def keep(self, df: DataFrame, tag: str) -> DataFrame:
+        """As :func:`materialize`, until ``clear``."""
+        self.count += 1
+        path = f"{self.root}/{self.count}-{tag}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_or_empty(text_col: str) -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 

@@ -8,16 +8,28 @@ one node.
 Candidates. Minwise hashes are dealt to bands; documents that agree on a band
 share a bucket. Buckets are never expanded into all their pairs:
 
-1. Each member is compared with the bucket's smallest id (its hub). Verified
-   links give components. In buckets that still hold several components, this
-   is repeated with other hubs, a few times.
-2. In buckets that even then hold several components, members outside the hub's
-   component (strays) are compared with members of other components, inside a
-   join whose condition is the signature comparison: only survivors are rows.
-
-Every two members of a bucket are then either in one component or were
-compared, so no link between components is lost but by the banding, whose miss
-probability at similarity t is (1 - t**rows)**bands: 3e-6 at 0.8.
+1. Each member is compared with the bucket's hub: its most central member, the
+   one whose own buckets hold most rows. The original of many edited copies has
+   the commonest bands, so it is the hub of nearly all their buckets.
+2. Verified links give components, and each round contracts them: later rounds
+   see links between components only. Buckets that still hold several
+   components try other hubs, ``rounds`` times in all.
+3. Buckets that even then hold several components are settled by differences.
+   With a common document H, members x and y differ by the elements in which
+   their differences from H differ, so a link needs many *shared differences*:
+   at least (U(x) + U(y)) / (2 * (100 + percent)), where U(z) is (100 + percent)
+   * |z ^ H| - (100 - percent) * |z|. Members not linked with H have a large U;
+   by the prefix-filter principle two such differences must meet in a short
+   prefix of their rarest elements. Prefixes are joined on (H, element);
+   positions prune the meetings.
+   Copies that were edited independently share next to no differences, so a
+   group in which thousands of copies are unlike each other costs about as many
+   rows as it has edits, and no pair is skipped.
+
+Every two members of a bucket are then in one component, or were compared, or
+were proved unlike; no link between components is lost but by the banding,
+whose miss probability at similarity t is (1 - t**rows)**bands: 3e-6 at 0.8, and by
+``banding`` at most 4e-6 at any other threshold that is asked for.
 
 Comparison is sequential: one bit of each minwise hash, in batches of 64. After
 each batch the posterior probability that the similarity reaches the threshold
@@ -29,25 +41,27 @@ Components are found by passing on smallest ids with pointer jumping, each
 round written to the shared folder; nothing is collected but counts.
 
 A document with fewer words than a shingle has one shingle, all its words. A
-null or empty text has the empty set and links with nothing. Rows with one id
-are one document for linking. Rows with a null id link with nothing and are
-kept (component null). An empty table gives an empty result.
+null or empty text has the empty set and links with nothing. Very long texts
+are read whole. Rows with one id are one document: the components of all their
+texts are one. Rows with a null id link with nothing and are kept (component
+null). An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import materialize, remembered, small_batches
+from ._shared import Scratch, materialize, remembered, small_batches
 
-BANDS, ROWS, BATCH, BATCHES, ROUNDS = 32, 5, 64, 8, 4
+ROWS, BATCH, BATCHES, ROUNDS = 5, 64, 8, 2
 REMEMBERED = 200_000
 SIGNATURE = [f"bits{k}" for k in range(BATCHES)]
 
@@ -109,6 +123,15 @@ class Signer:
         return keys.view(np.int64), np.packbits(bits).view(">u8").astype(np.uint64).view(np.int64)
 
 
+def banding(threshold: float, missed: float = 4e-6) -> tuple[int, int]:
+    """Bands and rows that miss a pair at the threshold with probability ``missed`` at most: the most rows with 64 bands or less."""
+    for rows in range(ROWS, 0, -1):
+        bands = 1 if threshold >= 1 else math.ceil(math.log(missed) / math.log1p(-(threshold**rows)))
+        if bands <= 64 or rows == 1:
+            return bands, rows
+    raise AssertionError
+
+
 def least_matches(threshold: float, miss: float) -> list[int]:
     """For 64, 128, ... compared bits: the fewest matches with posterior P(J >= threshold) >= miss.
 
@@ -138,76 +161,150 @@ def _alike(a: str, b: str, bounds: list[int]):
 
 
 def features(docs: DataFrame, width: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n_shingles, set_key, bits0.., keys`` per row."""
+    """``doc_id, n_shingles, set_key, bits0.., key0..`` per row; the latter are null for the empty set."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    names = [*SIGNATURE, *[f"key{k}" for k in range(bands)]]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(bands, rows)
         for batch in batches:
-            sizes, names, bits, keys = [], [], [], []
-            for t in batch.column(1):
+            sizes, digests = [], []
+            table = np.zeros((batch.num_rows, len(names)), np.int64)
+            for n, t in enumerate(batch.column(1)):
                 s = shingle_set(t.as_py(), width)
                 sizes.append(len(s))
+                digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 if len(s):
-                    names.append(xxhash.xxh3_128_digest(s.tobytes()))
-                    k, b = signer.sign(s)
-                    keys.append(k)
-                    bits.append(b)
-                else:
-                    names.append(None)
-                    keys.append(np.empty(0, np.int64))
-                    bits.append(np.zeros(BATCHES, np.int64))
-            ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-            table = np.array(bits, np.int64).reshape(-1, BATCHES)
+                    keys, bits = signer.sign(s)
+                    table[n, :BATCHES], table[n, BATCHES:] = bits, keys
+            empty = np.array([d is None for d in digests], bool)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(names, pa.binary()),
-                    *[pa.array(np.ascontiguousarray(table[:, k])) for k in range(BATCHES)],
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))),
-                ],
-                ["doc_id", "n_shingles", "set_key", *SIGNATURE, "keys"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
+                + [pa.array(np.ascontiguousarray(column), pa.int64(), mask=empty) for column in table.T],
+                ["doc_id", "n_shingles", "set_key", *names],
             )
 
-    long = T.LongType()
     schema = T.StructType(
-        [slim.schema["doc_id"], T.StructField("n_shingles", long), T.StructField("set_key", T.BinaryType())]
-        + [T.StructField(x, long) for x in SIGNATURE]
-        + [T.StructField("keys", T.ArrayType(long))]
+        [slim.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("set_key", T.BinaryType())]
+        + [T.StructField(x, T.LongType()) for x in names]
     )
     return slim.mapInArrow(sign, schema)
 
 
-def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets reach the similarity."""
-    both = (
-        pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        .select("a", "b", "text_a", "text_b")
-    )
+def with_sets(texts: DataFrame, width: int) -> DataFrame:
+    """The rows of ``id, set_key, bits0.., text`` whose text has the set of that key, with the set for the text."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), width).tobytes() for t in batch.column(batch.num_columns - 1)]
+            same = [xxhash.xxh3_128_digest(s) == k.as_py() for s, k in zip(sets, batch.column(1), strict=True)]
+            columns = [*batch.columns[:-1], pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema.names).filter(pa.array(same, pa.bool_()))
+
+    schema = T.StructType([*texts.schema.fields[:-1], T.StructField("shingles", T.BinaryType())])
+    return texts.mapInArrow(build, schema)
+
+
+def _set(scalar) -> np.ndarray:
+    return np.frombuffer(scalar.as_buffer(), np.uint64)
+
+
+def verify(pairs: DataFrame, percent: int) -> DataFrame:
+    """Of rows ``a, b, set_a, set_b``: the pairs whose whole sets reach the similarity."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[str | None, np.ndarray] = (None, np.empty(0, np.uint64))  # the hub's set; its pairs come together
         for batch in batches:
             keep = []
-            for ta, tb in zip(batch.column(2), batch.column(3), strict=True):
-                if (text := tb.as_py()) != held[0]:
-                    held = (text, shingle_set(text, width))
-                one, two = shingle_set(ta.as_py(), width), held[1]
+            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+                one, two = _set(a), _set(b)
                 shared = len(np.intersect1d(one, two, assume_unique=True))
                 keep.append(100 * shared >= percent * (len(one) + len(two) - shared))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(check, T.StructType([both.schema["a"], both.schema["b"]])).distinct()
+    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(check, T.StructType([pairs.schema["a"], pairs.schema["b"]]))
+
+
+def differences(spokes: DataFrame, percent: int) -> DataFrame:
+    """Of rows ``id, hub, comp, set_key, set, hub_set``: whether they are linked, and the elements of their difference.
+
+    ``excess`` is U. A member that is the farther one of a pair must meet the
+    other among its first ``n_far`` elements, in one order for all (none if it
+    is linked with the hub), the nearer one among its first ``n_near``.
+    """
+    more, less = 100 + percent, 100 - percent
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in range(5)]
+            elements = []
+            for a, b in zip(batch.column(4), batch.column(5), strict=True):
+                own, hub = _set(a), _set(b)
+                apart = np.setxor1d(own, hub, assume_unique=True)
+                shared = (len(own) + len(hub) - len(apart)) // 2
+                linked = 100 * shared >= percent * (len(own) + len(hub) - shared)
+                excess = more * len(apart) - less * len(own)
+                nearest = less * len(hub) + 1  # the least U of a member that is not linked with the hub
+                least = lambda u: max(1, -(-u // (2 * more)))
+                n_near = max(0, len(apart) - least(excess + max(excess, nearest)) + 1)
+                n_far = 0 if linked else max(0, len(apart) - least(excess - less * len(hub)) + 1)
+                elements.append(apart.view(np.int64))
+                for column, value in zip(out, (linked, excess, len(apart), n_near, n_far), strict=True):
+                    column.append(value)
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in elements])]).astype(np.int32)
+            flat = np.concatenate([*elements, np.empty(0, np.int64)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns[:4],
+                    pa.array(out[0], pa.bool_()),
+                    *[pa.array(column, pa.int64()) for column in out[1:]],
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                ],
+                schema.names,
+            )
+
+    long = T.LongType()
+    schema = T.StructType(
+        [*spokes.schema.fields[:4], T.StructField("linked", T.BooleanType())]
+        + [T.StructField(x, long) for x in ("excess", "size", "n_near", "n_far")]
+        + [T.StructField("elements", T.ArrayType(long))]
+    )
+    return spokes.mapInArrow(compare, schema)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def prefixes(spokes: DataFrame) -> DataFrame:
+    """A row for each element of the prefixes, ``at`` its place; rare elements of the hub's group come first."""
+    each = spokes.where("n_near > 0 OR n_far > 0").select(
+        "id", "hub", "comp", "set_key", "excess", "size", "n_near", "n_far", F.explode("elements").alias("element")
+    )
+    held = each.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("held"))
+    place = F.row_number().over(Window.partitionBy("hub", "id", "set_key").orderBy("held", "element")) - 1
+    posts = each.join(held, ["hub", "element"]).withColumn("at", place)
+    return posts.where(F.col("at") < F.greatest("n_near", "n_far"))
+
+
+def meetings(posts: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``id, hub`` of members of different components whose differences from a document meet early enough."""
+    far, near = posts.where("at < n_far").alias("f"), posts.where("at < n_near").alias("n")
+    order = (F.col("f.excess") > F.col("n.excess")) | ((F.col("f.excess") == F.col("n.excess")) & (F.col("f.id") > F.col("n.id")))
+    most = F.least(F.expr("f.size - f.at"), F.expr("n.size - n.at"))  # what the two can share from here on
+    pairs = far.join(
+        near,
+        (F.col("f.hub") == F.col("n.hub"))
+        & (F.col("f.element") == F.col("n.element"))
+        & (F.col("f.comp") != F.col("n.comp"))
+        & order
+        & (most * (2 * (100 + percent)) >= F.col("f.excess") + F.col("n.excess")),
+    )
+    return pairs.select(F.col("f.id").alias("id"), F.col("n.id").alias("hub")).distinct()
+
+
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``node, label`` for all ends of ``edges`` (a, b): label is the smallest node reachable."""
+    keep = scratch.keep if scratch else materialize
     sym = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    sym = materialize(sym.union(sym.select("v", "u")).distinct(), "edges")
+    sym = keep(sym.union(sym.select("v", "u")).distinct(), "edges")
     labels = sym.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label"))
-    labels = materialize(labels, "labels")
+    labels = keep(labels, "labels")
     while True:
         near = (
             sym.join(labels.select(F.col("node").alias("v"), F.col("label").alias("l")), "v")
@@ -216,97 +313,117 @@ def components(edges: DataFrame) -> DataFrame:
         )
         hooked = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "l").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        step = materialize(
-            hooked.join(jump, "label").select("node", "old", F.least("label", "far").alias("label")), "labels"
-        )
+        step = keep(hooked.join(jump, "label").select("node", "old", F.least("label", "far").alias("label")), "labels")
         labels = step.select("node", "label")
         if step.where("old <> label").isEmpty():
             return labels
 
 
+def contracted(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``labels`` (node, label) after the links ``a, b`` have joined their components."""
+    side = lambda end, name: labels.select(F.col("node").alias(end), F.col("label").alias(name))
+    between = links.join(side("a", "u"), "a").join(side("b", "v"), "b").where("u <> v")
+    between = scratch.keep(between.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "between")
+    if between.isEmpty():
+        return labels
+    merged = components(between, scratch).select(F.col("node").alias("label"), F.col("label").alias("least"))
+    return scratch.keep(labels.join(merged, "label", "left").select("node", F.coalesce("least", "label").alias("label")), "labels")
+
+
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
     percent: int = 80,
     miss: float = 1e-6,
-    bands: int = BANDS,
-    rows: int = ROWS,
+    bands: int | None = None,
+    rows: int | None = None,
     rounds: int = ROUNDS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row; links have 100 * |A & B| >= percent * |A | B|."""
-    if not 1 <= percent <= 100:
-        raise ValueError("percent must be from 1 to 100")
-    bounds = least_matches(percent / 100, miss)
+    if not 1 <= percent <= 100 or rounds < 1:
+        raise ValueError("percent must be from 1 to 100, rounds at least 1")
+    chosen = banding(percent / 100)
+    bands, rows = bands or chosen[0], rows or chosen[1]
+    scratch = Scratch(docs.sparkSession)
+    keep, bounds = scratch.keep, least_matches(percent / 100, miss)
     signed = materialize(features(small_batches(docs), width, bands, rows, id_col, text_col), "signed")
     usable = signed.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-    classes = materialize(usable.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = usable.join(
-        classes.select(F.col("rep").alias("doc_id"), F.col("set_key").alias("k")), "doc_id"
-    ).where(F.col("set_key") == F.col("k"))
-    banded = reps.select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
-    hubs = banded.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top"))
-    hubs = hubs.where(F.col("hub") < F.col("top")).select("key", "hub")
-    buckets = materialize(banded.join(hubs, "key").select("key", "id", "hub"), "buckets")
-    involved = materialize(buckets.select("id").distinct(), "involved")
-
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    texts = materialize(slim.join(involved.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), "texts")
-    bits = materialize(
-        reps.select(F.col("doc_id").alias("id"), *SIGNATURE, "keys").join(involved, "id", "left_semi"), "signatures"
-    )
+    keys = [f"key{k}" for k in range(bands)]
+    # Rows of a class have one signature, so any of them will do.
+    reps = usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), *[F.any_value(c).alias(c) for c in [*SIGNATURE, *keys]])
+    reps = keep(reps, "classes")
+
+    banded = reps.select("id", F.explode(F.array(*keys)).alias("key"))
+    full = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = keep(banded.join(full, "key"), "buckets")
+    low = F.xxhash64("id").bitwiseAND(F.lit((1 << 20) - 1))
+    central = buckets.groupBy("id").agg((F.shiftleft(F.sum("n"), 20) + F.any_value(low)).alias("score"))
+    central = keep(central, "central")
+    buckets = buckets.join(central, "id")
+    hubs = buckets.groupBy("key").agg(F.max_by("id", "score").alias("hub"))
+    buckets = keep(buckets.join(hubs, "key"), "hubs")
+
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    involved = reps.select("id", "set_key", *SIGNATURE).join(central.select("id"), "id", "left_semi")
+    texts = involved.join(texts, "id").select("id", "set_key", *SIGNATURE, "text")
+    nodes = keep(with_sets(texts, width), "nodes")
+    labels = central.select(F.col("id").alias("node"), F.col("id").alias("label"))
+
+    repeated = keep(usable.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated")
+    several_texts = not repeated.isEmpty()
+    if several_texts:  # texts of one id are one document
+        nodes = keep(nodes.dropDuplicates(["id", "set_key"]), "nodes")
+        several = usable.select("doc_id", "set_key").join(repeated, "doc_id", "left_semi").distinct()
+        several = several.join(reps.select("set_key", F.col("id").alias("a")), "set_key")
+        first = several.groupBy("doc_id").agg(F.min("a").alias("b"))
+        same = keep(several.join(first, "doc_id").select("a", "b").distinct(), "same")
+        labels = keep(labels.unionByName(same.select(F.col("a").alias("node"), F.col("a").alias("label"))).distinct(), "labels")
+        labels = contracted(labels, same, scratch)
 
     def links_of(pairs: DataFrame) -> DataFrame:
         """Of pairs ``id, hub``: those alike by signature, then by their whole sets."""
-        one = pairs.join(bits.alias("x"), "id").select("id", "hub", *[F.col(f"x.{s}") for s in SIGNATURE]).alias("x")
-        two = bits.select(F.col("id").alias("hub"), *SIGNATURE).alias("y")
-        near = one.join(two, (F.col("x.hub") == F.col("y.hub")) & _alike("x", "y", bounds))
-        near = near.select(F.col("x.id").alias("a"), F.col("x.hub").alias("b"))
-        return materialize(verify(near, texts, width, percent), "links")
-
-    links = links_of(buckets.where("id <> hub").select("id", "hub").distinct())
-    labels = components(links)
-    split = buckets.select("key", "id")
-    for turn in range(1, rounds + 2):
-        named = split.join(labels.withColumnRenamed("node", "id"), "id", "left")
-        named = materialize(named.select("key", "id", F.coalesce("label", "id").alias("comp")), "members")
-        hubs = named.groupBy("key").agg(
-            F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(turn))).alias("hub"),
-            F.min("comp").alias("low"),
-            F.max("comp").alias("high"),
+        one = pairs.join(nodes, "id").alias("x")
+        near = one.join(nodes.withColumnRenamed("id", "hub").alias("y"), (F.col("x.hub") == F.col("y.hub")) & _alike("x", "y", bounds))
+        near = near.select(
+            F.col("x.id").alias("a"), F.col("x.hub").alias("b"), F.col("x.shingles").alias("set_a"), F.col("y.shingles").alias("set_b")
         )
-        hubs = hubs.where("low <> high").select("key", F.col("hub.id").alias("hub"), F.col("hub.comp").alias("hub_comp"))
-        split = materialize(named.join(hubs, "key"), "mixed")
-        if turn > rounds or split.isEmpty():
-            break
-        fresh = links_of(split.where("comp <> hub_comp").select("id", "hub").distinct())
-        split = split.select("key", "id")
-        if not fresh.isEmpty():
-            links = materialize(links.unionByName(fresh), "links")
-            labels = components(links)
-
-    # Strays with all members of other components.
-    split = split.join(bits, "id")
-    stray = split.where("comp <> hub_comp").alias("s")
-    rest = split.alias("m")
-    fresh = stray.join(
-        rest,
-        (F.col("s.key") == F.col("m.key"))
-        & (F.col("s.comp") != F.col("m.comp"))
-        & ((F.col("m.comp") == F.col("m.hub_comp")) | (F.col("s.id") < F.col("m.id")))
-        & _alike("s", "m", bounds)
-        & (F.array_min(F.array_intersect("s.keys", "m.keys")) == F.col("s.key")),  # in one common bucket only
-    )
-    fresh = fresh.select(F.least("s.id", "m.id").alias("b"), F.greatest("s.id", "m.id").alias("a")).distinct()
-    more = materialize(verify(fresh.select("a", "b"), texts, width, percent), "links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+        return keep(verify(near, percent), "links")
 
-    found = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "set_key", F.coalesce("label", "rep").alias("comp")
-    )
-    found = materialize(found, "class-labels")
+    labels = contracted(labels, links_of(buckets.where("id <> hub").select("id", "hub").distinct()), scratch)
+
+    def mixed(members: DataFrame) -> DataFrame:
+        """Rows ``key, id, score, comp`` of the buckets that still hold several components, with ``lead``, the most central one's."""
+        named = keep(members.join(labels.select(F.col("node").alias("id"), F.col("label").alias("comp")), "id"), "members")
+        leads = named.groupBy("key").agg(F.max_by("comp", "score").alias("lead"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+        return keep(named.join(leads.where("low <> high").select("key", "lead"), "key"), "mixed")
+
+    split = mixed(buckets.where("n > 2").select("key", "id", "score"))  # pairs have been compared
+    for _ in range(rounds - 1):
+        if split.isEmpty():
+            break
+        others = split.where("comp <> lead").groupBy("key").agg(F.max_by(F.struct("id", "comp"), "score").alias("hub"))
+        pairs = split.join(others, "key").where("comp <> hub.comp").select("id", F.col("hub.id").alias("hub")).distinct()
+        labels = contracted(labels, links_of(pairs), scratch)
+        split = mixed(split.select("key", "id", "score"))
+
+    if not split.isEmpty():
+        comps = central.join(labels.select(F.col("node").alias("id"), F.col("label").alias("comp")), "id")
+        centres = comps.groupBy("comp").agg(F.max_by("id", "score").alias("centre"), F.max("score").alias("weight"))
+        hubs = split.select("key", "comp").distinct().join(centres, "comp").groupBy("key").agg(F.max_by("centre", "weight").alias("hub"))
+        spokes = split.join(hubs, "key").select("id", "hub", "comp").distinct()
+        sets = nodes.select("id", "set_key", F.col("shingles").alias("set"))
+        centre = nodes.groupBy("id").agg(F.min("shingles").alias("hub_set")).withColumnRenamed("id", "hub")  # of one text, where an id has several
+        spokes = spokes.join(sets, "id").join(centre if several_texts else sets.select(F.col("id").alias("hub"), F.col("set").alias("hub_set")), "hub")
+        spokes = keep(differences(spokes.select("id", "hub", "comp", "set_key", "set", "hub_set"), percent), "differences")
+        direct = spokes.where("linked AND id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+        pairs = keep(meetings(keep(prefixes(spokes), "prefixes"), percent), "meetings")
+        labels = contracted(labels, direct.unionByName(links_of(pairs)), scratch)
+
+    found = reps.select("set_key", F.col("id").alias("node")).join(labels, "node", "left")
+    found = materialize(found.select("set_key", F.coalesce("label", "node").alias("comp")), "class-labels")
+    scratch.clear()
     return (
         signed.select("doc_id", "n_shingles", "set_key")
         .join(found, "set_key", "left")

@@ -47,7 +47,7 @@ def near_copies(n, seed, words=80, vocabulary=5000):
     return out
 
 
-@pytest.mark.parametrize("width, rounds", [(2, 4), (5, 4), (2, 0)])
+@pytest.mark.parametrize("width, rounds", [(2, 2), (5, 3), (2, 1)])
 def test_near_duplicates(spark, width, rounds):
     r = random.Random(width)
     texts = near_copies(90, 1) + near_copies(25, 2) + near_copies(8, 3, 12)
@@ -63,6 +63,47 @@ def test_near_duplicates(spark, width, rounds):
     assert all(x.kept == (x.doc_id == x.component_id) for x in found)
 
 
+@pytest.mark.parametrize("percent", [80, 50])
+def test_many_copies_that_are_unlike_each_other(spark, percent):
+    """Edited copies of one text, most of them below the threshold to each other, with families and no original."""
+    r = random.Random(11)
+    base = [f"v{k}" for k in range(100)]
+    texts = []
+    for n in range(2000):
+        w = list(base)
+        for _ in range(r.randint(3, 13) * (3 if percent == 50 else 1)):
+            at = r.randrange(len(w))
+            w[at : at + 1] = [[f"n{r.randint(0, 10**6)}"], [], [w[at], f"m{r.randint(0, 30)}"]][r.randint(0, 2)]
+        if n % 5 == 0 and texts:  # a family of its own
+            w = r.choice(texts).split()
+            w[r.randrange(len(w))] = "f"
+        texts.append(" ".join(w))
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = {x.doc_id: x.component_id for x in neardup.near_duplicates(docs, width=2, percent=percent).collect()}
+    names = {}
+    table = np.zeros((len(rows), 40_000), np.float32)
+    for i, t in rows:
+        w = t.split()
+        for pair in zip(w, w[1:], strict=False):
+            table[i, names.setdefault(pair, len(names))] = 1
+    size, both = table.sum(1), table @ table.T
+    linked = 100 * both >= percent * (size[:, None] + size - both)
+    label = np.arange(len(rows))
+    while (label != (new := np.where(linked, label, len(rows)).min(1))).any():
+        label = new
+    assert found == dict(enumerate(label.tolist()))
+    assert 100 < len(set(found.values())) < 1900
+
+
+def test_texts_of_one_id_are_one_document(spark):
+    one, two, three = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(1, one), (5, one), (5, two), (7, two), (5, one), (9, three), (9, ""), (8, three), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((x.doc_id, x.component_id, x.kept) for x in neardup.near_duplicates(docs).collect())
+    assert found == sorted([(1, 1, True)] + [(5, 1, False)] * 3 + [(7, 1, False), (8, 8, True), (9, 8, False), (9, 9, True), (2, 2, True)])
+
+
 def test_near_duplicates_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert neardup.near_duplicates(empty).count() == 0

@@ -49,4 +49,20 @@ def test_stages_keep_columns_and_odd_rows(spark, tmp_path):
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "comp"]
         docs = spark.createDataFrame(docs.collect(), schema)
-    assert sorted(r.doc_id or 0 for r in docs.collect()) == [0, 1]
+    assert sorted(r.doc_id or 0 for r in docs.collect()) == [0, 1]  # the repeated row once
+
+
+def test_rows_of_one_id_are_judged_one_by_one(spark):
+    one, two = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    rows = [(1, one, 0), (1, two, 1), (None, one, 2), (None, two + " more", 3), (2, None, 4), (2, None, 5), (3, "other", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row long").coalesce(1)
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "")
+    assert kept.columns == docs.columns and sorted(r["row"] for r in kept.collect()) == [0, 1, 4, 5, 6]
+    assert dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs.limit(0), "").count() == 0
+
+
+def test_empty_documents(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0 and docs.count()
