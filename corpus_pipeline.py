@@ -3,13 +3,16 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 to the shared folder as Parquet and read again as the next stage's documents.
 All stages but the last return the columns of documents, whatever they are; a
-clean document passes every stage unchanged.
+clean document passes every stage unchanged. Stages 1, 4 and 5 take null and
+empty texts for empty ones and keep them; stage 2 drops them, as they are in no
+language. An empty table, or empty labels or benchmark, gives what is left: a
+stage that has learnt nothing rejects nothing (languages: everything).
 
 1. toxicity: rows scored 0.5 or more by the factorization machine go.
 2. language_id: rows without letters, or far from every profile, go.
-3. near_duplicates: one document of each group stays (shingles of five words,
-   similarity 0.8 or more); of rows that share an id, one stays; rows without
-   an id stay.
+3. near_duplicates: one row of each group stays (shingles of five words,
+   similarity 0.8 or more), that of the smallest id; if ids are null or
+   repeated, rows are judged one by one and the first of a group stays.
 4. decontamination: rows that leak a benchmark item go.
 5. bpe: token ids, their digest, and the digest of the text decoded from them.
 """
@@ -37,10 +40,14 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    grouped = neardup.near_duplicates(docs, width=5, percent=80)
-    kept = grouped.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    known = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
-    return known.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    key, rows = "doc_id", docs
+    odd = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL")
+    if not odd.isEmpty():  # ids do not tell rows apart: number the rows, once and for all
+        key = next(name for name in ("row", *(f"row{k}" for k in range(len(docs.columns)))) if name not in docs.columns)
+        rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    grouped = neardup.near_duplicates(rows, width=5, percent=80, id_col=key)
+    gone = grouped.where("NOT kept").select(F.col("doc_id").alias(key))
+    return rows.join(gone, key, "left_anti").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
