@@ -235,6 +235,42 @@ def test_nearest(spark):
     assert [(b[1]) for b in found[400]] == [w[0] for w in want[400]]  # ties by id
 
 
+def test_codes_leave_little_to_rerank():
+    """The share of vectors that the bounds leave for the exact product, and what they lose."""
+    r = np.random.default_rng(5)
+    v = r.normal(size=(20_000, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    turn, centre = ann.rotation(64, 512), v[:4096].mean(0)
+    packed, far, fit, with_centre = ann.encode(v, centre, turn)
+    q = v[:200]
+    estimate, error = ann.bounds(q, ann.signs_of(packed, 512), far, fit, with_centre, centre, turn, 2.5)
+    exact = q @ v.T
+    assert (np.abs(estimate - exact) <= error).mean() > 0.97
+    floor = -np.sort(-(q @ v[:16_384].T), axis=1)[:, 20]
+    maybe = estimate + error >= floor[:, None]
+    kth = -np.sort(-exact, axis=1)[:, 20]
+    assert maybe.mean() < 0.05 and maybe[exact >= kth[:, None]].mean() > 0.99
+
+
+def test_ids_with_several_vectors(spark):
+    r = np.random.default_rng(3)
+    rows = [(int(i), r.normal(size=8).round(3).tolist()) for i in r.integers(0, 60, 400)]
+    rows += [(0, rows[5][1]), (7, rows[5][1]), (7, rows[5][1])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = {}
+    for q in (0, 20, 40):
+        own = [np.array(v) for i, v in rows if i == q]
+        score = {}
+        for i, v in rows:
+            if i != q:
+                score[i] = max([score.get(i, -np.inf), *(float((np.array(v) * x).sum()) for x in own)])
+        want[q] = [i for i, _ in sorted(score.items(), key=lambda x: (-x[1], x[0]))][:20]
+    found = collections.defaultdict(list)
+    for x in sorted(ann.nearest(table, k=20, sample=100).collect()):
+        found[x.query_id].append(x.vec_id)
+    assert found == want
+
+
 def test_nearest_of_few(spark):
     table = spark.createDataFrame([(0, [1.0, 2.0]), (7, [2.0, 1.0])], "vec_id long, embedding array<double>")
     assert [tuple(x) for x in ann.nearest(table, k=20).collect()] == [(0, 1, 7, 4.0)]
