@@ -13,7 +13,8 @@ gives the centre, coarse cells, and for each query a floor: its (k+1)-th best
 score within the sample, which its k-th best over all rows cannot be below. In
 every block of codes a vector is reranked on its original components, in double
 precision, only if its upper bound reaches the floor and the block's own k-th
-greatest lower bound. A query is not sent to cells whose centroid and radius
+greatest lower bound; the sample's own best are results at once, so no list is
+short. A query is not sent to cells whose centroid and radius
 prove all their vectors to be below its floor. The ranking by (score, id) is
 exact for all reranked vectors; every row is indexed and bounded. What can be
 missed is a vector whose true score exceeds the estimate by more than ``width``
@@ -169,22 +170,29 @@ def nearest(
     asker = F.md5(F.to_json(F.struct("vec")).cast("binary"))
     asked = rows.where(asks).select(F.col("id").alias("query_id"), asker.alias("asker"), "vec")
     askers = asked.groupBy("asker").agg(F.any_value("vec").alias("vec"))
-    asking = T.StructType([*askers.schema.fields, T.StructField("floor", T.DoubleType()), T.StructField("cells", T.ArrayType(T.IntegerType()))])
+    asking = T.StructType([*askers.schema.fields, T.StructField("floor", T.DoubleType()), T.StructField("cells", T.ArrayType(T.IntegerType())), T.StructField("seen_ids", T.ArrayType(T.LongType())), T.StructField("seen_scores", T.ArrayType(T.DoubleType()))])
 
     def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(seen_ids, kind="stable")
         ids, starts = np.unique(seen_ids[order], return_index=True)
         for batch in batches:
             q = _matrix(batch.column(1), dim)
-            low = np.full(len(q), -np.inf)
+            low, best, worth = np.full(len(q), -np.inf), [], []
             for at in range(0, len(q), 256):
                 scores = np.maximum.reduceat(q[at : at + 256] @ seen[order].T, starts, axis=1)  # the best of each id
                 if len(ids) > k:
                     low[at : at + 256] = np.partition(scores, len(ids) - k - 1, axis=1)[:, len(ids) - k - 1] - 1e-9
+            for x, floor in zip(q, low, strict=True):  # these are found already, exactly
+                pick = np.flatnonzero(seen @ x >= floor)
+                scores = (seen[pick] * x).sum(1)
+                top = np.lexsort((seen_ids[pick], -scores))[: 4 * (k + 1)]
+                best.append(seen_ids[pick][top])
+                worth.append(scores[top])
             reach = q @ centroids.T + np.linalg.norm(q, axis=1)[:, None] * radius
             lists = [np.flatnonzero(x >= f).astype(np.int32) for x, f in zip(np.where(np.isnan(reach), -np.inf, reach), low, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(low), pa.array(lists, pa.list_(pa.int32()))], asking.names
+                [*batch.columns, pa.array(low), pa.array(lists, pa.list_(pa.int32())), pa.array(best, pa.list_(pa.int64())), pa.array(worth, pa.list_(pa.float64()))],
+                asking.names,
             )
 
     askers = materialize(askers.mapInArrow(floors, asking), "ann-askers")
@@ -242,9 +250,10 @@ def nearest(
 
     keys = ["q", "cell", "part"]
     found = here.groupBy(*keys).cogroup(there.groupBy(*keys)).applyInArrow(search, "asker string, vec_id long, score double")
+    known = askers.select("asker", F.explode(F.arrays_zip("seen_ids", "seen_scores")).alias("x"))
+    found = found.unionByName(known.select("asker", F.col("x.seen_ids").alias("vec_id"), F.col("x.seen_scores").alias("score")))
+    found = found.groupBy("asker", "vec_id").agg(F.max("score").alias("score"))
     best = [F.desc("score"), F.asc("vec_id")]
-    if several:
-        found = found.groupBy("asker", "vec_id").agg(F.max("score").alias("score"))
     found = found.withColumn("n", F.row_number().over(Window.partitionBy("asker").orderBy(*best))).where(F.col("n") <= k + 1)
     found = materialize(found.drop("n"), "ann-found")
     ranked = asked.select("query_id", "asker").distinct().join(found, "asker").where("vec_id <> query_id")

@@ -252,6 +252,15 @@ def test_codes_leave_little_to_rerank():
     assert maybe.mean() < 0.05 and maybe[exact >= kth[:, None]].mean() > 0.99
 
 
+def test_lists_are_full(spark):
+    r = np.random.default_rng(9)
+    rows = [(i, r.normal(size=16).tolist()) for i in range(600)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for width, sample in ((0.0, 600), (0.0, 5), (2.5, 300)):
+        found = collections.Counter(x.query_id for x in ann.nearest(table, k=20, width=width, sample=sample).collect())
+        assert found == {i: 20 for i in range(0, 600, 20)}
+
+
 def test_ids_with_several_vectors(spark):
     r = np.random.default_rng(3)
     rows = [(int(i), r.normal(size=8).round(3).tolist()) for i in r.integers(0, 60, 400)]
