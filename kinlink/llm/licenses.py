@@ -5,7 +5,10 @@ notice may differ from its pattern in up to ``k`` edits. Cut into ``k + 1``
 pieces, at least one piece must stand in the text unchanged (pigeonhole): an
 Aho-Corasick automaton over all pieces gives the candidate places, and the
 regex library's bounded-error matching verifies the few bytes around each,
-reporting span and edits. Edits count in UTF-8 bytes.
+reporting span and edits. Edits count in UTF-8 bytes. A span begins and ends at
+a word's border, and must hold the pattern's names (words of at most three
+letters that are no common words: ``mit``, ``gnu``) unchanged: one edit turns
+``kit`` into ``mit``.
 
 *Base* phrases are counted where their words stand consecutively, i.e. where a
 verified span has no edit and whole words.
@@ -41,6 +44,7 @@ NOTICES = [
     ("all rights reserved", "proprietary", 1),
 ]
 BASE_EDITS = 1
+COMMON = set("a and any in is nor not of or the to use all 2 0".split())
 RESULT = (
     "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
     "spans array<struct<label string, first_word long, n_words long, edits int>>"
@@ -57,7 +61,8 @@ class Scanner:
 
         self.patterns = [(p, label, BASE_EDITS, True) for p, label in base.items()]
         self.patterns += [(p, label, k, False) for p, label, k in notices]
-        self.matchers = [regex.compile(f"(?b)(?:{regex.escape(p)}){{e<={k}}}") for p, _, k, _ in self.patterns]
+        self.matchers = [regex.compile(f"(?b)(?<![^ ])(?:{regex.escape(p)}){{e<={k}}}(?![^ ])") for p, _, k, _ in self.patterns]
+        self.names = [{w for w in p.split() if len(w) <= 3 and w not in COMMON} for p, _, _, _ in self.patterns]
         seeds: dict[str, list[tuple[int, int]]] = {}
         for n, (p, _, k, _) in enumerate(self.patterns):
             cuts = [len(p) * i // (k + 1) for i in range(k + 2)]
@@ -73,7 +78,11 @@ class Scanner:
         p, _, k, _ = self.patterns[n]
         low, high = max(0, guess - k), min(len(words), guess + len(p) + k)
         m = self.matchers[n].search(words, low, high)
-        return (m.start(), m.end(), sum(m.fuzzy_counts)) if m else None
+        if not m or words[m.end() : m.end() + 1] not in ("", " "):  # the search takes its own end for a border
+            return None
+        if not self.names[n] <= set(words[m.start() : m.end()].split(" ")):
+            return None
+        return m.start(), m.end(), sum(m.fuzzy_counts)
 
     def scan(self, text: str | None) -> dict:
         tokens = (text or "").encode().translate(WORDS).split()
