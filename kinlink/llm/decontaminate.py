@@ -20,10 +20,13 @@ shingles (five words) and the share of the answer's words, in runs of at least
 two, must both reach their limits. The answer is what follows the last
 ``answer:`` or ``a:`` of an item, else its last sentence, else its last fifth.
 
-The index is built for ``part`` items at a time (a bound on what is shipped to
-the executors); more items mean more passes over the documents.
+The index is built for ``part`` items or ``part_bytes`` of their texts at a time
+(a bound on what is shipped to the executors); more items mean more passes over
+the documents. Counts, lengths and the width of passages are those of all items,
+so the parts change no result. The items themselves, a benchmark and no corpus,
+are held on the driver once.
 
-Null and empty texts match nothing. Items with null id or text or without words
+Item ids may be of any type. Null and empty texts match nothing. Items with null id or text or without words
 are ignored; with no items nothing matches. Repeated items give a row each.
 Repeated documents give repeated rows.
 """
@@ -51,7 +54,7 @@ BLOCK = 16
 SHINGLE = 5
 MARKER = re.compile(r"(?:\banswer|^\s*a)\s*:", re.I | re.M)
 SENTENCE = re.compile(r"[.!?]\s+(?=\S)")
-RESULT = "array<struct<item_id bigint, score double, question double, answer double>>"
+RESULT = [("score", T.DoubleType()), ("question", T.DoubleType()), ("answer", T.DoubleType())]
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -77,7 +80,7 @@ def shingles(words: list[bytes]) -> set[tuple[bytes, ...]]:
 class Totals:
     """Number, mean and greatest length of all items, and how many of them hold a word."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple]):
         self.held: Counter[bytes] = Counter()
         lengths = []
         for _, text in items:
@@ -86,7 +89,7 @@ class Totals:
                 lengths.append(len(words))
         self.count, self.mean, self.stride = len(lengths), sum(lengths) / max(1, len(lengths)), max([1, *lengths])
 
-    def of(self, items: list[tuple[int, str]]) -> Totals:
+    def of(self, items: list[tuple]) -> Totals:
         """The same, with only the words of ``items``."""
         own = copy(self)
         own.held = Counter({w: self.held[w] for _, text in items for w in words_of(text)})
@@ -103,7 +106,7 @@ class Index:
     """
 
     def __init__(
-        self, items: list[tuple[int, str]], threshold: float, least_question: float, least_answer: float, totals: Totals | None = None
+        self, items: list[tuple], threshold: float, least_question: float, least_answer: float, totals: Totals | None = None
     ):
         totals = totals or Totals(items)
         self.threshold, self.limits = threshold, (least_question, least_answer)
@@ -271,28 +274,40 @@ class Index:
 
 
 def leaks_column(
-    text: Column, items: list[tuple[int, str]], threshold: float, least_question: float, least_answer: float, totals: Totals | None = None
+    text: Column,
+    items: list[tuple],
+    threshold: float,
+    least_question: float,
+    least_answer: float,
+    totals: Totals | None = None,
+    id_type: T.DataType | None = None,
 ) -> Column:
-    kind = T._parse_datatype_string(RESULT)
+    """An array of what ``text`` leaks: item_id, score, question, answer."""
+    names = [("item_id", id_type or T.LongType()), *RESULT]
+    kind = T.ArrayType(T.StructType([T.StructField(*x) for x in names]))
     arrow = to_arrow_type(kind)
     tag = (hash(tuple(items)), threshold, least_question, least_answer, totals and totals.key())
 
     @F.arrow_udf(kind)
     def find(texts: pa.Array) -> pa.Array:
-        index = remembered(("bm25", tag), lambda: Index(items, threshold, least_question, least_answer, totals))
+        # Each part is a kind of its own: a worker holds one index.
+        index = remembered((f"bm25 {tag}",), lambda: Index(items, threshold, least_question, least_answer, totals))
         return pa.array([index.leaks(t.as_py()) for t in texts], arrow)
 
     return find(text.cast("string"))
 
 
-def item_parts(items: DataFrame, part: int) -> list[tuple[list[tuple[int, str]], Totals]]:
-    """The items on the driver, ``part`` at a time, each with the totals of all."""
-    rows = items.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), "text")
-    parts: list[list[tuple[int, str]]] = [[]]
+def item_parts(items: DataFrame, part: int, part_bytes: int = 16 << 20) -> list[tuple[list[tuple], Totals]]:
+    """The items on the driver, in parts, each with the totals of all."""
+    rows = items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", F.col("text").cast("string"))
+    parts: list[list[tuple]] = [[]]
+    held = 0
     for r in rows.orderBy("item_id", "text").toLocalIterator():
-        if len(parts[-1]) == part:
+        if len(parts[-1]) == part or held + len(r[1]) > part_bytes and parts[-1]:
             parts.append([])
+            held = 0
         parts[-1].append((r[0], r[1]))
+        held += len(r[1])
     totals = Totals([x for own in parts for x in own])
     return [(own, totals.of(own)) for own in parts]
 
@@ -310,7 +325,7 @@ def find_leaks(
     """``doc_id, item_id, score, question, answer``: one row per document row and leaked item."""
     found = None
     for own, totals in item_parts(items, part):
-        column = leaks_column(F.col(text_col), own, threshold, least_question, least_answer, totals)
+        column = leaks_column(F.col(text_col), own, threshold, least_question, least_answer, totals, items.schema["item_id"].dataType)
         some = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.explode(column).alias("leak")).select("doc_id", "leak.*")
         found = some if found is None else found.unionByName(some)
     return found
@@ -327,5 +342,6 @@ def without_leaks(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, whose text leaks no item."""
     for own, totals in item_parts(items, part):
-        docs = small_batches(docs).where(F.size(leaks_column(F.col(text_col), own, threshold, least_question, least_answer, totals)) == 0)
+        column = leaks_column(F.col(text_col), own, threshold, least_question, least_answer, totals, items.schema["item_id"].dataType)
+        docs = small_batches(docs).where(F.size(column) == 0)
     return docs
