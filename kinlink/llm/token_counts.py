@@ -15,7 +15,8 @@ is one row in every step but the last join, which splits by row ranges.
 The cache is a Parquet folder (``content``, ``tokenizer``, ``n_tokens``);
 appends are committed whole. A cache path of None starts an empty cache in the
 shared folder. Rows of lost appends or of two writers do no harm: readers take
-one count for each key. Repeated rows and null ids count like any other row; an
+one count for each key. Every call appends files; :func:`compact_cache` rewrites
+them. Very long texts are encoded whole. Repeated rows and null ids count like any other row; an
 empty table gives an empty result.
 """
 
@@ -25,7 +26,6 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,10 +64,17 @@ def counter(path: str) -> Callable[[str], int]:
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(CACHE_SCHEMA).parquet(path)
-    except AnalysisException:  # nothing stored yet
+    """What is stored; nothing if there is no such folder. A folder that cannot be read is an error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return spark.createDataFrame([], CACHE_SCHEMA)
+    return spark.read.schema(CACHE_SCHEMA).parquet(path)
+
+
+def compact_cache(spark: SparkSession, path: str, into: str, files: int = 64) -> None:
+    """One row for each key of the cache at ``path``, in few files, written to another folder."""
+    stored = read_cache(spark, path).groupBy("content", "tokenizer").agg(F.max("n_tokens").alias("n_tokens"))
+    stored.repartition(files, "content").write.parquet(into)
 
 
 def count_tokens(

@@ -84,7 +84,13 @@ def test_counts_and_cache(spark, tmp_path, path):
     found = token_counts.count_tokens(docs, path, cache, limit=5).collect()
     again = spark.read.parquet(cache)
     assert again.count() == again.select("content").distinct().count() > before
-    count = token_counts.counter(path)
+    if path == PIECES:
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        count = lambda t: len(model.encode(t, add_bos=False, add_eos=False))
+    else:
+        count = lambda t: len(library().encode(t, add_special_tokens=False).ids)
     want = sorted((i is None, i, len((x or "").encode()), count(x or ""), count(x or "") > 5) for i, x, _ in rows)
     assert sorted((r.doc_id is None, r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in found) == want
     assert len(first) == sum(i is not None and i < 105 for i, _, _ in rows)
@@ -98,3 +104,25 @@ def test_only_misses_are_encoded(spark, tmp_path):
     spark.range(1).select(key.alias("content"), F.lit(token_counts.tokenizer_digest(PIECES)).alias("tokenizer"), F.lit(99).cast("long").alias("n_tokens")).write.parquet(cache)
     found = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, PIECES, cache).collect()}
     assert found == {1: 99, 2: token_counts.counter(PIECES)("fresh")}
+
+
+def test_a_cache_that_cannot_be_read_is_an_error(spark, tmp_path):
+    (tmp_path / "part-0.parquet").write_bytes(b"no parquet file")
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        token_counts.count_tokens(docs, PIECES, str(tmp_path)).collect()
+
+
+def test_overlapping_writers_and_compaction(spark, tmp_path):
+    """Two writers may store a content twice: counts stay single, and compaction keeps one row a key."""
+    docs = spark.createDataFrame([(1, "one text"), (2, "another")], "doc_id long, text string")
+    cache, other, small = (str(tmp_path / x) for x in ("cache", "other", "small"))
+    want = sorted(token_counts.count_tokens(docs, PIECES, cache).collect())
+    token_counts.count_tokens(docs, PIECES, other).collect()
+    spark.read.parquet(other).write.mode("append").parquet(cache)
+    assert spark.read.parquet(cache).count() == 4
+    assert sorted(token_counts.count_tokens(docs, PIECES, cache).collect()) == want
+    assert spark.read.parquet(cache).count() == 4  # nothing was missing
+    token_counts.compact_cache(spark, cache, small, files=1)
+    assert spark.read.parquet(small).count() == 2
+    assert sorted(token_counts.count_tokens(docs, PIECES, small).collect()) == want
