@@ -8,16 +8,17 @@ in the profile counting ``top``. The least distance wins, ties going to the
 language that sorts first; ``score`` is one minus the distance's share of its
 maximum.
 
-Characters are reduced to 64 classes: the border, a-z, and 37 classes that
-share all other letters by code point. Whole texts are counted, in blocks.
+Characters are the letters themselves, in lower case, whatever their script.
+Whole texts are counted, in blocks.
 
 Learning takes at most ``per_language`` rows of a language in expectation (a
 threshold on a hash of the id, so that it is one scan and the same at every
-size); counts are summed per partition before they are shuffled.
+size), of the ``languages`` most frequent values of ``lang``; counts are summed
+per partition before they are shuffled.
 
 A text that is null or has no letters is ``und`` with score 0, as is every text
 if nothing could be learnt. Rows with null id or language are never learnt
-from. Repeated rows count repeatedly.
+from. Repeated rows count repeatedly. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,57 +33,60 @@ from pyspark.sql import types as T
 
 from ._shared import crc_of_id, remembered, small_batches
 
-BITS = 6
-CLASSES = 1 << BITS
-SIZES = [CLASSES, CLASSES**2, CLASSES**3]
-OFFSETS = np.cumsum([0, *SIZES])
+BITS = 18  # all letters lie below 2**18
 BLOCK = 1 << 20
+PAIRS, TRIPLES = 1 << 60, 1 << 61  # mark n-grams of two and three characters
 
 
-def class_table() -> np.ndarray:
-    """Code point -> class; 0 is everything that is no letter."""
+def letters() -> np.ndarray:
+    """Code point -> that of the letter in lower case; 0 is everything that is no letter."""
 
     def build() -> np.ndarray:
-        table = np.zeros(0x110000, np.uint8)
-        for cp in range(0x110000):
+        table = np.zeros(0x110000, np.int64)
+        for cp in range(1 << BITS):
             c = chr(cp)
             if c.isalpha():
-                low = ord(c.lower()[0])
-                table[cp] = low - 96 if 97 <= low <= 122 else 27 + low % 37
+                table[cp] = ord(c.lower()[0])
         return table
 
     return remembered(("langid", "letters"), build)
 
 
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of all parts, and their counts."""
+    if len(parts) == 1:
+        return parts[0]
+    grams, where = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+    return grams, np.bincount(where, np.concatenate([n for _, n in parts])).astype(np.int64)
+
+
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of a text and their counts; nothing if it has no letters."""
-    table, parts = class_table(), []
-    last = np.zeros(2, np.uint8)  # the two classes before a block
+    table, parts = letters(), []
+    last = np.zeros(2, np.int64)  # the two characters before a block
+    some = False
     for at in range(0, len(text), BLOCK):
-        cps = np.frombuffer(text[at : at + BLOCK].encode("utf-32-le", "surrogatepass"), np.uint32)
-        c = table[cps]
+        c = table[np.frombuffer(text[at : at + BLOCK].encode("utf-32-le", "surrogatepass"), np.uint32)]
         if at + BLOCK >= len(text):
-            c = np.append(c, np.uint8(0))
+            c = np.append(c, 0)
         border = c == 0
         before = np.concatenate([last[1:] == 0, border[:-1]])
-        c = c[~(border & before)].astype(np.int64)  # one border between words
+        c = c[~(border & before)]  # one border between words
         if not len(c):
             continue
-        joined = np.concatenate([last.astype(np.int64), c])
+        joined = np.concatenate([last, c])
         one = joined[2:]
-        two = joined[1:-1] * CLASSES + one
-        three = (joined[:-2] * CLASSES + joined[1:-1]) * CLASSES + one
+        two = (joined[1:-1] << BITS) + one
+        three = (joined[:-2] << 2 * BITS) + two
         if not at:
             three = three[1:]
-        grams = np.concatenate([one[one > 0], OFFSETS[1] + two, OFFSETS[2] + three])
+        grams = np.concatenate([one[one > 0], PAIRS + two, TRIPLES + three])
         parts.append(np.unique(grams, return_counts=True))
-        last = joined[-2:].astype(np.uint8)
-    if not parts or all(len(g) == 0 or g[0] >= CLASSES for g, _ in parts):
+        some = some or bool((one > 0).any())
+        last = joined[-2:]
+    if not some:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    if len(parts) == 1:
-        return parts[0]
-    grams, where = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
-    return grams, np.bincount(where, np.concatenate([n for _, n in parts])).astype(np.int64)
+    return summed(parts)
 
 
 def ranked(grams: np.ndarray, counts: np.ndarray, top: int) -> np.ndarray:
@@ -94,6 +98,7 @@ def learn_profiles(
     docs: DataFrame,
     top: int = 400,
     per_language: int = 4000,
+    languages: int = 1000,
     held_out: Column | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -103,26 +108,21 @@ def learn_profiles(
     rows = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     held = F.pmod(crc_of_id("id"), F.lit(4)) == 2 if held_out is None else held_out
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held)
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes:
-        return {}
-    keep = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))])
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
     ticket = F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(1_000_000)) / F.lit(1e6)
-    sample = rows.where(ticket < keep[F.col("lang")]).select("lang", "text")
+    sample = rows.join(F.broadcast(sizes), "lang").where(ticket < F.lit(per_language) / F.col("n")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
+        sums: dict[str, list] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                grams, counts = gram_counts(text.as_py() or "")
-                if lang not in sums:
-                    sums[lang] = np.zeros(OFFSETS[-1], np.int64)
-                sums[lang][grams] += counts
-        for lang, total in sums.items():
-            seen = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(seen), pa.string()), pa.array(seen), pa.array(total[seen])], ["lang", "gram", "n"]
-            )
+                own = sums.setdefault(lang, [])
+                own.append(gram_counts(text.as_py() or ""))
+                if len(own) == 64:
+                    sums[lang] = [summed(own)]
+        for lang, own in sums.items():
+            grams, counts = summed(own)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(counts)], ["lang", "gram", "n"])
 
     counts = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
@@ -136,16 +136,18 @@ def learn_profiles(
 class Identifier:
     def __init__(self, profiles: dict[str, list[int]], top: int):
         self.top, self.languages = top, sorted(profiles)
-        self.ranks = np.full((len(self.languages), OFFSETS[-1]), -1, np.int16)
+        self.known = np.unique(np.concatenate([np.empty(0, np.int64), *profiles.values()]).astype(np.int64))
+        self.ranks = np.full((len(self.languages), len(self.known) + 1), -1, np.int64)  # the last place is for all others
         for k, lang in enumerate(self.languages):
-            self.ranks[k, profiles[lang]] = np.arange(len(profiles[lang]))
+            self.ranks[k, np.searchsorted(self.known, profiles[lang])] = np.arange(len(profiles[lang]))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         grams, counts = gram_counts(text or "")
         if not len(grams) or not self.languages:
             return "und", 0.0
         own = ranked(grams, counts, self.top)
-        theirs = self.ranks[:, own].astype(np.int64)
+        place = np.searchsorted(self.known, own).clip(0, len(self.known) - 1)
+        theirs = self.ranks[:, np.where(self.known[place] == own, place, len(self.known))]
         apart = np.where(theirs < 0, self.top, np.abs(theirs - np.arange(len(own)))).sum(1)
         best = int(apart.argmin())
         return self.languages[best], float(1 - apart[best] / (self.top * len(own)))
