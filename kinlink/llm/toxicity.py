@@ -8,9 +8,11 @@ bytes (insults are inflected), hashed to 2**20 places. The machine scores
 over the chosen terms a document has, so that a pair (an insult beside the
 mention of a group) can weigh more than its parts.
 
-Learning takes at most ``per_class`` labelled rows of each class, the first in
+Learning takes at most ``per_class`` labelled ids of each class, the first in
 the order of a hash of the id (exact bound, the same rows whatever the
-partitioning). From these the driver chooses the terms whose document
+partitioning), and of these as many as have ``most_places`` terms in all; so
+very long texts cannot fill the driver. Of several texts of one id that of the
+smallest digest teaches. From these the driver chooses the terms whose document
 frequency differs most between the classes, and frequent terms beside them for
 their pairs, and fits by AdaGrad with a fixed seed. Rows are weighted back to
 the class shares of all labelled rows. Scoring reads whole texts.
@@ -18,7 +20,11 @@ the class shares of all labelled rows. Scoring reads whole texts.
 Without labels of both classes every score is the share of label 1 (0 if there
 are none). Null and empty texts have no terms and get the bias. Rows with a
 null id or label are never learnt from; of several labels of one id the
-highest holds. Repeated rows get equal scores.
+highest holds. Repeated rows get equal scores, an empty table gives none.
+
+The screen looks at terms one by one, so a pair of rare terms that are harmless
+alone cannot be learnt unless both are among the frequent ones; and at most
+``n_terms`` of the 2**20 places score at all.
 """
 
 from __future__ import annotations
@@ -29,11 +35,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import crc_of_id, remembered, small_batches
+from ._shared import crc_of_id, materialize, remembered, small_batches
 
 PLACES = 1 << 20
 WORDS = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -97,6 +104,7 @@ def learn(
     docs: DataFrame,
     labels: DataFrame,
     per_class: int = 6000,
+    most_places: int = 8_000_000,
     n_terms: int = 2048,
     n_factors: int = 8,
     epochs: int = 12,
@@ -117,12 +125,21 @@ def learn(
             lists = [
                 sorted(set(chain.from_iterable(map(places_of, words_of(t.as_py()))))) for t in batch.column(2)
             ]
+            digests = [xxhash.xxh3_64_intdigest(t.as_py() or "") >> 1 for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int32()))], ["id", "toxic", "places"]
+                [batch.column(0), batch.column(1), pa.array(digests, pa.int64()), pa.array(lists, pa.list_(pa.int32()))],
+                schema.names,
             )
 
-    schema = T.StructType([sample.schema["id"], T.StructField("toxic", T.IntegerType()), T.StructField("places", T.ArrayType(T.IntegerType()))])
-    table = sample.mapInArrow(hashed, schema).toArrow().sort_by([("id", "ascending")]).combine_chunks()
+    schema = T.StructType(
+        [sample.schema["id"], T.StructField("toxic", T.IntegerType()), T.StructField("digest", T.LongType())]
+        + [T.StructField("places", T.ArrayType(T.IntegerType()))]
+    )
+    each = sample.mapInArrow(hashed, schema).groupBy("id").agg(F.min(F.struct("digest", "toxic", "places")).alias("x"))
+    each = materialize(each.select("id", "x.toxic", "x.places", F.size("x.places").alias("n")), "toxicity-sample")
+    before = Window.partitionBy("toxic").orderBy(F.xxhash64("id", F.lit("toxicity")), "id")  # 2 * per_class ids
+    taken = each.select("id", "toxic", F.sum("n").over(before).alias("so_far")).where(F.col("so_far") <= most_places // 2)
+    table = each.join(taken.select("id"), "id", "left_semi").select("id", "toxic", "places").toArrow().sort_by([("id", "ascending")]).combine_chunks()
     y = table.column("toxic").to_numpy().astype(np.float64)
     lists = table.column("places").combine_chunks()
     if isinstance(lists, pa.ChunkedArray):

@@ -1,3 +1,4 @@
+import collections
 import random
 import re
 import zlib
@@ -28,11 +29,53 @@ def labelled(spark, n=60):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string")
 
 
+def plain_grams(text):
+    """N-grams by hand: letters in lower case, one border between words and at both ends."""
+    flat = re.sub("\0+", "\0", "\0" + "".join(c.lower()[0] if c.isalpha() else "\0" for c in text) + "\0")
+    found = collections.Counter()
+    for n in (1, 2, 3):
+        found.update(flat[k : k + n] for k in range(len(flat) - n + 1))
+    del found["\0"]
+    return found if any(x.strip("\0") for x in found) else {}
+
+
+def brute_profile(texts, top):
+    total = sum((collections.Counter(plain_grams(t)) for t in texts), collections.Counter())
+    return sorted(total, key=lambda g: (-total[g], len(g), g))[:top]
+
+
 def brute_distance(text, profile, top):
-    grams, counts = langid.gram_counts(text)
-    own = sorted(zip(-counts, grams, strict=True))[:top]
+    own = brute_profile([text], top)
     ranks = {g: k for k, g in enumerate(profile)}
-    return sum(abs(ranks[g] - k) if g in ranks else top for k, (_, g) in enumerate(own))
+    return sum(abs(ranks[g] - k) if g in ranks else top for k, g in enumerate(own))
+
+
+def spelled(gram):
+    n = 3 if gram >= langid.TRIPLES else 2 if gram >= langid.PAIRS else 1
+    return "".join(chr(gram >> k * langid.BITS & (1 << langid.BITS) - 1) for k in range(n - 1, -1, -1))
+
+
+def test_profiles_and_distances_by_hand(spark):
+    docs = labelled(spark)
+    profiles = langid.learn_profiles(docs)
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    for lang, grams in profiles.items():
+        texts = [r.text or "" for r in docs.collect() if r.lang == lang and r.doc_id is not None and not held(r.doc_id)]
+        assert [spelled(g) for g in grams] == brute_profile(texts, 400)
+    speaker = langid.Identifier(profiles, 400)
+    plain = {lang: [spelled(g) for g in p] for lang, p in profiles.items()}
+    for text in [*sentences("fr", 5, 3), "über", "x", "ДА нет і ї й", "日本 語", "ǅ İ"]:
+        apart = {lang: brute_distance(text, p, 400) for lang, p in plain.items()}
+        lang, score = speaker.predict(text)
+        n = min(400, len(plain_grams(text)))
+        assert lang == min(sorted(apart), key=apart.get) and abs(score - (1 - apart[lang] / (400 * n))) < 1e-12
+
+
+def test_letters_of_other_scripts_differ(spark):
+    rows = [(k, t, lang) for lang, t in (("uk", "і ї ґ є"), ("sr", "ј љ њ џ")) for k in range(40)]
+    docs = spark.createDataFrame([(n, t, lang) for n, (_, t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    profiles = langid.learn_profiles(docs)
+    assert not {g for g in profiles["uk"] if len(spelled(g).strip("\0"))} & {g for g in profiles["sr"] if len(spelled(g).strip("\0"))}
 
 
 def test_languages(spark):
@@ -46,9 +89,6 @@ def test_languages(spark):
     assert all(found[r.doc_id].held_out for r in held)
     assert all((found[i].lang_pred, found[i].score) == ("und", 0.0) for i in (900, 901, 902))
     assert found[903].lang_pred == "de" and found[None].lang_pred == "en" and not found[None].held_out
-    text = sentences("fr", 1, 3)[0]
-    apart = {lang: brute_distance(text, p, 400) for lang, p in profiles.items()}
-    assert langid.Identifier(profiles, 400).predict(text)[0] == min(sorted(apart), key=apart.get)
 
 
 def test_held_out_rows_teach_nothing(spark):
@@ -102,6 +142,33 @@ def test_toxicity(spark):
     assert again.bias == machine.bias and (again.weights == machine.weights).all()
 
 
+def test_scores_by_hand(spark):
+    """Every score against the machine's formula, written out over pairs."""
+    rows = toxic_corpus(200)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(500, None), (501, "?")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    machine = toxicity.learn(docs, labels, steps=60)
+    number = {int(p): k for k, p in enumerate(machine.places)}
+    for r in docs.join(toxicity.score_toxicity(docs, machine), "doc_id").collect():
+        words = set(re.findall(rb"[0-9a-z\x80-\xff]+", (r.text or "").lower().encode()))
+        places = {zlib.crc32(b"w" + w) % 2**20 for w in words} | {zlib.crc32(b"%d" % n + w[:n]) % 2**20 for w in words for n in (4, 5) if len(w) > n}
+        terms = sorted(number[p] for p in places if p in number)
+        logit = machine.bias + sum(machine.weights[t] for t in terms)
+        logit += sum(float(machine.factors[a] @ machine.factors[b]) for n, a in enumerate(terms) for b in terms[n + 1 :])
+        assert abs(r.score - 1 / (1 + np.exp(-logit))) < 1e-9
+
+
+def test_learning_is_bounded(spark):
+    """A repeated id teaches once; texts beyond the number of places do not teach."""
+    rows = toxic_corpus(100)
+    once = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    again = once.unionByName(once.where("doc_id < 9"))
+    one, two = (toxicity.learn(d, labels, steps=30) for d in (once, again))
+    assert (one.places == two.places).all() and (one.weights == two.weights).all()
+    assert len(toxicity.learn(once, labels, most_places=2000, steps=30).places) < len(one.places)
+
+
 def test_pairs_weigh_more_than_their_parts(spark):
     """Two words that are harmless alone, toxic together: no linear weights can say so."""
     r = random.Random(3)
@@ -149,6 +216,39 @@ def test_licenses(spark):
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_labels_by_hand():
+    """Every run of words against every pattern."""
+    notices = [("gnu lesser general public license", "lgpl", 3), ("all rights reserved", "own", 1), ("mozilla public license", "mpl", 2)]
+    scanner = licenses.Scanner(licenses.BASE, notices)
+    patterns = [(p, label, 1) for p, label in licenses.BASE.items()] + notices
+    r = random.Random(4)
+    bits = "mit license licence licens gnu lesser general genral public pubic mozila mozilla all rights right reserved x kit".split()
+    for _ in range(400):
+        words = [r.choice(bits) for _ in range(r.randint(1, 9))]
+        want = set()
+        for p, label, k in patterns:
+            names = {w for w in p.split() if w in ("mit", "gnu")}
+            for i in range(len(words)):
+                for j in range(i + 1, len(words) + 1):
+                    if names <= set(words[i:j]) and distance(" ".join(words[i:j]), p) <= k:
+                        want.add(label)
+        assert scanner.scan(" ".join(words))["labels"] == ",".join(sorted(want)), words
+
+
+@pytest.mark.parametrize("text", ["the speed limit license was granted", "we submit license forms", "omit license fees", "kit license", "a bit license", "hit license plate"])
+def test_parts_of_words_are_no_notice(text):
+    assert licenses.Scanner(licenses.BASE, licenses.NOTICES).scan(text)["labels"] == ""
+
+
 def test_fuzzy_notices():
     scanner = licenses.Scanner(licenses.BASE, licenses.NOTICES)
     found = scanner.scan("x y Permision is hereby granted, free off charge, to any person obtaining a cpy z")
