@@ -71,12 +71,14 @@ def key_frequencies(keys: DataFrame) -> DataFrame:
 def capped_postings(ref_keys: DataFrame, cap: int) -> DataFrame:
     """Postings of keys that at most ``cap`` references hold.
 
-    The frequency is an aggregation (combined on the map side) and the cut an
-    equi-join, so a key that a third of all references hold costs no task more
-    than its share.
+    A window group limit cuts every key to ``cap + 1`` rows before the shuffle,
+    on each map task; a key that still has ``cap + 1`` is dropped. So a key that
+    a third of all references hold brings each task ``cap + 1`` rows a map task
+    at most. ``ref_keys`` holds a reference once for each key.
     """
-    rare = key_frequencies(ref_keys).where(F.col("n") <= cap).select("key")
-    return ref_keys.join(rare, "key")
+    by_key = Window.partitionBy("key")
+    few = ref_keys.withColumn("place", F.row_number().over(by_key.orderBy("id"))).where(F.col("place") <= cap + 1)
+    return few.withColumn("n", F.max("place").over(by_key)).where(F.col("n") <= cap).select(*ref_keys.columns)
 
 
 def candidate_hits(ref_keys: DataFrame, target_keys: DataFrame) -> DataFrame:
@@ -107,6 +109,13 @@ def plausible_pairs(hits: DataFrame, refs: DataFrame, targets: DataFrame) -> Dat
     return pairs.select("ref_id", "target_id", "ref_country", "name_dice", "address_dice", "rank")
 
 
+def best_of_each_pair(pairs: DataFrame) -> DataFrame:
+    """One row for each reference and target: that of the highest rank."""
+    rest = [c for c in pairs.columns if c not in ("ref_id", "target_id")]
+    best = F.max(F.struct("rank", *[c for c in rest if c != "rank"])).alias("best")
+    return pairs.groupBy("ref_id", "target_id").agg(best).select(*[f"best.{c}" if c in rest else c for c in pairs.columns])
+
+
 def top_candidates(pairs: DataFrame, k: int) -> DataFrame:
     """The ``k`` best of each reference by rank, ties to the smaller target id."""
     if k < 1:

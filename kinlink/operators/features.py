@@ -18,7 +18,7 @@ FEATURES = [
     "name_address_minimum", "retrieval_score",
 ]
 CARRIED = [
-    "name", "address", "name_words", "address_words", "nums", "name_compact", "address_compact", "name_sorted",
+    "name", "address", "name_words", "address_words", "nums", "name_compact", "address_compact", "name_sorted", "name_sorted_grams",
 ]
 
 
@@ -31,12 +31,11 @@ def feature_columns() -> dict[str, Column]:
     first = lambda n: F.coalesce(flag(F.get(both(n)[0], F.lit(0)) == F.get(both(n)[1], F.lit(0))), F.lit(0.0).cast("float"))
     postal = tuple(t.long_numbers(x) for x in both("nums"))
     has_postal = (F.size(postal[0]) > 0) & (F.size(postal[1]) > 0)
-    sorted_names = both("name_sorted")
     return {
         "name_bigram_dice": F.col("name_dice"),
         "name_token_jaccard": sim.jaccard(*both("name_words")),
         "name_token_containment": sim.containment(*both("name_words")),
-        "name_sorted_bigram_dice": sim.dice(*sorted_names, *[sim.tagged_bigrams(x) for x in sorted_names]),
+        "name_sorted_bigram_dice": sim.dice(*both("name_sorted"), *both("name_sorted_grams")),
         "name_exact": same("name_compact"),
         "name_length_ratio": sim.length_ratio(*both("name_compact")),
         "name_first_token": first("name_words"),

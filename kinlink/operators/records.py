@@ -45,6 +45,7 @@ def prepare_records(records: DataFrame) -> DataFrame:
         .withColumn("address_compact", t.compact(F.col("address")))
         .withColumn("name_sorted", t.join_tokens(t.unique_words(F.col("name_words"))))
         .withColumn("name_grams", sim.tagged_bigrams(F.col("name_compact")))
+        .withColumn("name_sorted_grams", sim.tagged_bigrams(F.col("name_sorted")))
         .withColumn("address_grams", sim.tagged_bigrams(F.col("address_compact")))
     )
 

@@ -46,3 +46,9 @@ def validation_faults(sources: DataFrame, matches: DataFrame, candidates: DataFr
     unknown = asked.join(targets.select("id"), "id", "left_anti")
     faults = faults.unionByName(unknown.select(F.lit("unknown target id").alias("fault"), F.col("id").alias("example")))
     return faults.groupBy("fault").agg(F.min("example").alias("example"), F.count(F.lit(1)).alias("n"))
+
+
+def unknown_ids(asked: DataFrame, targets: DataFrame, limit: int = 5) -> DataFrame:
+    """The first ``limit`` distinct ids of ``asked`` (target_id) that no target has, in order."""
+    ids = asked.select("target_id").distinct()
+    return ids.join(targets.select(F.col("id").alias("target_id")), "target_id", "left_anti").orderBy("target_id").limit(limit)

@@ -16,6 +16,8 @@ from ..sources import provenance as prov
 from ..sources import tsv
 
 MATCHES, CANDIDATES = "matching_results.tsv", "candidate_pairs.tsv"
+WORK_FILES = ["model_config.json", "training_config.json", "evaluation.json", "input_manifest.json", "expected_outputs.json"]
+UNFINISHED = "[draft]"
 OPTIONS = {"k": 12, "cap": 64, "mod": 1000, "keep": 20, "iterations": 600}
 
 
@@ -31,6 +33,13 @@ def require_unique(rows: DataFrame, what: str) -> None:
         raise ValueError(f"duplicate {what} ids")
 
 
+def check_candidates(pairs: DataFrame, k: int) -> None:
+    """No reference may have more than ``k`` candidates, or one of them twice."""
+    counts = pairs.groupBy("ref_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("target_id").alias("m"))
+    if not counts.where((F.col("n") > k) | (F.col("n") != F.col("m"))).isEmpty():
+        raise ValueError("candidates beyond the bound, or repeated")
+
+
 def candidate_features(refs: DataFrame, targets: DataFrame, k: int, cap: int, mod: int = 1, keep: int = 1):
     """Features of all candidates, persisted, and the number of pairs before the choice."""
     chosen, pairs = blocking.retrieve(refs, targets, k, cap, mod, keep)
@@ -106,9 +115,10 @@ def train(spark: SparkSession, data: str, work: str, label: str = "", **options:
         "cap": options["cap"],
         "features": features.FEATURES,
         "model_sha256": prov.sha256_folder(f"{work}/model"),
+        "code_sha256": prov.sha256_code(),
     }
     tsv.write_json(f"{work}/model_config.json", config)
-    tsv.write_json(f"{work}/evaluation.json", report)
+    tsv.write_json(f"{work}/evaluation.json", report | {"model_sha256": config["model_sha256"]})
     tsv.write_json(f"{work}/training_config.json", options | {"data_label": label})
     tsv.write_json(f"{work}/input_manifest.json", prov.input_manifest(data, ("train",)))
     for x in (refs, targets, links, entities, pairs, labelled, scored, scores):
@@ -135,6 +145,7 @@ def predict(spark: SparkSession, data: str, work: str, output: str, expected: bo
     require_unique(targets, "target")
     pairs, before = candidate_features(refs, targets, config["k"], config["cap"])
     scored = classifier.score(model, classifier.assemble(pairs)).select("ref_id", "target_id", "probability").persist()
+    check_candidates(scored, config["k"])
     chosen = F.col("probability") >= config["threshold"]
     tsv.write_tsv_file(tsv.id_lists(refs, scored, "candidate_entity_ids"), Path(output, CANDIDATES))
     tsv.write_tsv_file(tsv.id_lists(refs, scored, "matched_entity_ids", chosen), Path(output, MATCHES))
@@ -193,34 +204,67 @@ def validate_outputs(spark: SparkSession, data: str, output: str) -> dict:
     return result
 
 
-def package(spark: SparkSession, data: str, work: str, output: str, destination: str) -> dict:
-    """A ZIP of outputs and reports, after validation and comparison of all digests."""
-    prov.check_write_paths(data, work, output, destination)
-    validate_outputs(spark, data, output)
+def check_provenance(data: str, work: str, output: str) -> None:
+    """Model, evaluation, predictions, inputs and code must all be of one run."""
+    read = lambda root, name: json.loads(Path(root, name).read_text())
+    for name in WORK_FILES:
+        if not Path(work, name).is_file():
+            raise ValueError(f"{name} is not in the work folder")
     _, config = load_model(work)
-    stats = json.loads(Path(output, "prediction_stats.json").read_text())
+    stats, wanted = read(output, "prediction_stats.json"), read(work, "expected_outputs.json")
+    if read(work, "evaluation.json")["model_sha256"] != config["model_sha256"]:
+        raise ValueError("the evaluation is that of another model")
     if stats["model_sha256"] != config["model_sha256"]:
         raise ValueError("the outputs were made by another model")
-    for name, digest in stats["output_sha256"].items():
-        if prov.sha256_file(Path(output, name)) != digest:
+    if prov.sha256_code() != config["code_sha256"]:
+        raise ValueError("the code has changed since training")
+    for name in (MATCHES, CANDIDATES):
+        if not prov.sha256_file(Path(output, name)) == wanted.get(name) == stats["output_sha256"].get(name):
             raise ValueError(f"{name} has changed since prediction")
-    parts = [Path(output, n) for n in (MATCHES, CANDIDATES, "prediction_stats.json", "validation.json")]
-    parts += [Path(work, n) for n in ("model_config.json", "evaluation.json", "training_config.json", "input_manifest.json")]
-    if Path(destination).resolve() in {p.resolve() for p in parts}:
+    if read(work, "input_manifest.json") != prov.input_manifest(data):
+        raise ValueError("an input has changed since the model was trained or used")
+
+
+def package(spark: SparkSession, data: str, work: str, output: str, destination: str, document: str | None = None) -> dict:
+    """A ZIP of outputs, reports, model, code and all that a reproduction needs, after validation and all checks."""
+    prov.check_write_paths(data, work, output, destination)
+    validate_outputs(spark, data, output)
+    document = Path(document or Path(output, "report.md"))
+    if not document.is_file() or UNFINISHED in document.read_text():
+        raise ValueError(f"{document}: there is no finished report")
+    check_provenance(data, work, output)
+    parts = {f"output/{n}": Path(output, n) for n in (MATCHES, CANDIDATES, "prediction_stats.json", "validation.json")}
+    parts |= {f"work/{n}": Path(work, n) for n in WORK_FILES} | {"report.md": document}
+    parts |= {f"work/model/{p.relative_to(Path(work, 'model'))}": p for p in sorted(Path(work, "model").rglob("*")) if p.is_file()}
+    parts |= {f"code/kinlink/{n}": p for n, p in prov.code_files().items()}
+    if Path(destination).resolve() in {p.resolve() for p in parts.values()}:
         raise ValueError("the archive would overwrite one of its parts")
-    manifest = {p.name: {"bytes": p.stat().st_size, "sha256": prov.sha256_file(p)} for p in parts}
+    manifest = {n: {"bytes": p.stat().st_size, "sha256": prov.sha256_file(p)} for n, p in parts.items()}
     temporary = Path(f"{destination}.tmp")
-    with zipfile.ZipFile(temporary, "w", zipfile.ZIP_DEFLATED) as z:
-        for p in parts:
-            z.write(p, p.name)
-        z.writestr("manifest.json", json.dumps(manifest, indent=2, sort_keys=True))
-    with zipfile.ZipFile(temporary) as z:
-        if (bad := z.testzip()) is not None:
-            raise ValueError(f"the archive is damaged at {bad}")
-    temporary.replace(destination)
+    try:
+        with zipfile.ZipFile(temporary, "w", zipfile.ZIP_DEFLATED) as z:
+            for name, p in parts.items():
+                z.write(p, name)
+            z.writestr("manifest.json", json.dumps(manifest, indent=2, sort_keys=True))
+        with zipfile.ZipFile(temporary) as z:
+            if (bad := z.testzip()) is not None:
+                raise ValueError(f"the archive is damaged at {bad}")
+        temporary.replace(destination)
+    finally:
+        temporary.unlink(missing_ok=True)
     return manifest
 
 
+def unpack(archive: str, folder: str) -> str:
+    """Extract an archive and compare every part with its manifest; returns the work folder in it."""
+    with zipfile.ZipFile(archive) as z:
+        z.extractall(folder)
+    for name, entry in json.loads(Path(folder, "manifest.json").read_text()).items():
+        if prov.sha256_file(Path(folder, name)) != entry["sha256"]:
+            raise ValueError(f"{name} is not what the archive's manifest says")
+    return str(Path(folder, "work"))
+
+
 def write_document(work: str, output: str, path: str) -> str:
     """A short Markdown report of the evaluation and the outputs."""
     report = json.loads(Path(work, "evaluation.json").read_text())
@@ -242,7 +286,11 @@ def run(spark: SparkSession, data: str, work: str, output: str, destination: str
 
 
 def reproduce(spark: SparkSession, data: str, work: str, output: str, retrain: bool = False) -> dict:
-    """Repeat prediction (and training) and compare the outputs' digests with the recorded ones."""
+    """Repeat prediction (and training) and compare the outputs' digests with the recorded ones.
+
+    ``work`` may be that of an extracted archive. The verdict is written to
+    ``reproduction.json``, whatever it is.
+    """
     manifest = json.loads(Path(work, "input_manifest.json").read_text())
     if manifest != prov.input_manifest(data, ("train", "test")):
         raise ValueError("the inputs differ from those of the recorded run")
@@ -253,8 +301,10 @@ def reproduce(spark: SparkSession, data: str, work: str, output: str, retrain: b
     predict(spark, data, work, output, expected=False)
     validate_outputs(spark, data, output)
     found = {n: prov.sha256_file(Path(output, n)) for n in wanted}
-    if found != wanted:
-        raise ValueError("the outputs differ from the recorded run")
+    same = found == wanted
+    tsv.write_json(Path(output, "reproduction.json"), {"same": same, "retrained": retrain, "recorded": wanted, "found": found})
+    if not same:
+        raise ValueError("the outputs differ from the recorded run; reproduction.json has the digests")
     return found
 
 

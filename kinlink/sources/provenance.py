@@ -19,6 +19,20 @@ def sha256_folder(path: str | Path) -> str:
     return total.hexdigest()
 
 
+def code_files() -> dict[str, Path]:
+    """The linkage engine's own files; operators of other kinds are no part of a run."""
+    root = Path(__file__).resolve().parents[1]
+    found = {str(p.relative_to(root)): p for p in sorted(root.rglob("*.py"))}
+    return {n: p for n, p in found.items() if n.split("/")[0] in ("__init__.py", "functions", "operators", "plans", "sources", "streaming")}
+
+
+def sha256_code() -> str:
+    total = hashlib.sha256()
+    for name, path in code_files().items():
+        total.update(f"{name}\0{sha256_file(path)}\n".encode())
+    return total.hexdigest()
+
+
 def input_names(splits=("train", "test")) -> list[str]:
     names = [f"{s}/{s}_source{n}.tsv" for s in splits for n in (1, 2, 3)]
     return names + ["train/train_ground_truth.tsv"] * ("train" in splits)
@@ -31,11 +45,11 @@ def check_inputs(data: str | Path, splits=("train", "test")) -> None:
     for name in input_names(splits):
         path = Path(data, name)
         if not path.is_file() or not path.stat().st_size:
-            raise ValueError(f"missing or empty input: {path}")
+            raise ValueError(f"{path}: no such file, or nothing in it")
         with path.open(encoding="utf-8", newline="") as f:
             header = f.readline().rstrip("\r\n").split("\t")
         if header != (TRUTH_HEADER if "ground_truth" in name else SOURCE_HEADER):
-            raise ValueError(f"unexpected header: {path}")
+            raise ValueError(f"{path}: the header names other columns")
 
 
 def input_manifest(data: str | Path, splits=("train", "test")) -> dict:
@@ -54,6 +68,6 @@ def check_write_paths(data: str | Path, *paths: str | Path | None) -> None:
 def check_options(**options: int) -> None:
     for name, value in options.items():
         if not isinstance(value, int) or value < 1:
-            raise ValueError(f"{name} must be a positive integer")
+            raise ValueError(f"option {name}: {value!r} is no count from 1 up")
     if options.get("keep", 1) > options.get("mod", options.get("keep", 1)):
-        raise ValueError("keep cannot exceed mod")
+        raise ValueError("of mod parts, at most mod can be kept")
