@@ -78,6 +78,11 @@ def bounds(queries: np.ndarray, signs: np.ndarray, far, fit, with_centre, centre
     return estimate, error + np.float32(1e-5) * (1 + np.abs(estimate))
 
 
+def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products, summed in the order of the components: the same to the last bit wherever they are taken."""
+    return np.add.accumulate(vectors * query, axis=1)[:, -1]
+
+
 def cells_of(sample: np.ndarray, cells: int, turns: int = 5) -> np.ndarray:
     """Centroids by a few rounds of k-means on the sample."""
     centroids = np.unique(sample[:cells], axis=0)
@@ -184,7 +189,7 @@ def nearest(
                     low[at : at + 256] = np.partition(scores, len(ids) - k - 1, axis=1)[:, len(ids) - k - 1] - 1e-9
             for x, floor in zip(q, low, strict=True):  # these are found already, exactly
                 pick = np.flatnonzero(seen @ x >= floor)
-                scores = (seen[pick] * x).sum(1)
+                scores = products(seen[pick], x)
                 top = np.lexsort((seen_ids[pick], -scores))[: 4 * (k + 1)]
                 best.append(seen_ids[pick][top])
                 worth.append(scores[top])
@@ -231,7 +236,7 @@ def nearest(
                 maybe = estimate + error >= floor[:, None]
                 for r in range(len(q)):
                     pick = np.flatnonzero(maybe[r])
-                    scores = (v[pick] * q[r]).sum(1)
+                    scores = products(v[pick], q[r])
                     pick, scores = pick[scores >= low[at + r]], scores[scores >= low[at + r]]
                     if not several and len(pick) > m:  # all classes that tie with the last stay
                         cut = np.partition(scores, len(pick) - m)[len(pick) - m]

@@ -53,7 +53,7 @@ def shard_by_bytes(
             F.unhex(F.md5(raw)).alias("digest"),
             (F.octet_length(text).cast("long") + F.lit(overhead)).alias("size"),
             F.crc32(raw).alias("text_crc32"),
-            F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("cell"),
+            F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(salts)), F.lit(0)).cast("int").alias("cell"),
         ),
         "shard-slim",
     )
