@@ -7,7 +7,6 @@ import json
 import zipfile
 from pathlib import Path
 
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,15 +71,14 @@ def train(spark: SparkSession, data: str, work: str, label: str = "", **options:
     entities = metrics.entity_table(sampled, links).persist()
     pairs, before = candidate_features(refs, targets, *(options[x] for x in ("k", "cap", "mod", "keep")))
     labelled = metrics.label_pairs(pairs, links).join(entities.select("ref_id", "split"), "ref_id")
-    labelled = classifier.assemble(labelled).persist()
+    labelled = labelled.persist()
     classifier.check_classes(labelled)
     if entities.where("split = 'holdout'").isEmpty():
         raise ValueError("no holdout entities; increase the sample")
     part = lambda name: labelled.where(F.col("split") == name)
     model = classifier.fit(part("fitting"), options["iterations"])
     trees = classifier.best_iterations(model, part("tuning"))
-    if trees < options["iterations"]:
-        model = classifier.fit(part("fitting"), trees)
+    model = model.first(trees)
     scored = classifier.score(model, labelled).select("ref_id", "target_id", "label", "probability").persist()
     threshold, tuned, scores = evaluate(entities, scored)
     scores = scores.persist()
@@ -108,7 +106,7 @@ def train(spark: SparkSession, data: str, work: str, label: str = "", **options:
         "options": options,
     }
     final = classifier.fit(labelled, trees)  # the metrics above are fixed before this fit
-    final.write().overwrite().save(f"{work}/model")
+    classifier.save(final, f"{work}/model")
     config = {
         "threshold": threshold,
         "k": options["k"],
@@ -126,13 +124,13 @@ def train(spark: SparkSession, data: str, work: str, label: str = "", **options:
     return report
 
 
-def load_model(work: str) -> tuple[GBTClassificationModel, dict]:
+def load_model(work: str) -> tuple[classifier.Trees, dict]:
     config = json.loads(Path(work, "model_config.json").read_text())
     if config["features"] != features.FEATURES:
         raise ValueError("the model was trained on other features")
     if config["model_sha256"] != prov.sha256_folder(f"{work}/model"):
         raise ValueError("the model does not match its configuration")
-    return GBTClassificationModel.load(f"{work}/model"), config
+    return classifier.load(f"{work}/model"), config
 
 
 def predict(spark: SparkSession, data: str, work: str, output: str, expected: bool = True) -> dict:
@@ -144,7 +142,7 @@ def predict(spark: SparkSession, data: str, work: str, output: str, expected: bo
     require_unique(refs, "reference")
     require_unique(targets, "target")
     pairs, before = candidate_features(refs, targets, config["k"], config["cap"])
-    scored = classifier.score(model, classifier.assemble(pairs)).select("ref_id", "target_id", "probability").persist()
+    scored = classifier.score(model, pairs).select("ref_id", "target_id", "probability").persist()
     check_candidates(scored, config["k"])
     chosen = F.col("probability") >= config["threshold"]
     tsv.write_tsv_file(tsv.id_lists(refs, scored, "candidate_entity_ids"), Path(output, CANDIDATES))

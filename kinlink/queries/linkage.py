@@ -818,7 +818,7 @@ def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     c = Corpus(spark, sf_dir)
     entities = c.entity_table().persist()
     pairs = metrics.label_pairs(c.features(), c.links()).join(entities.select("ref_id", "split"), "ref_id")
-    return entities, classifier.assemble(pairs).persist()
+    return entities, kept(pairs, "labelled")
 
 
 def _trees(pairs: DataFrame) -> tuple:
@@ -830,9 +830,7 @@ def _trees(pairs: DataFrame) -> tuple:
 def _trained(spark: SparkSession, sf_dir: str) -> tuple:
     entities, pairs = _labelled(spark, sf_dir)
     model, trees = _trees(pairs)
-    if trees < OPTIONS["iterations"]:
-        model = classifier.fit(pairs.where("split = 'fitting'"), trees)
-    return entities, pairs, model
+    return entities, pairs, model.first(trees)
 
 
 @register("fit_classifier")
