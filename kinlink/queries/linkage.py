@@ -115,8 +115,8 @@ def document_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     w = F.array_distinct(F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), "[ \t\r\n]+"), lambda x: x != ""))
     kind = F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"), F.lit("-"), F.col("doc_id").cast("string"))
-    sets = setjoin.rarest_first(docs.select(kind.alias("id"), F.coalesce("lang", F.lit("")).alias("part"), w.alias("words")))
-    return setjoin.half_alike(sets.where("id LIKE 'S1-%'"), sets.where("id NOT LIKE 'S1-%'"))
+    sets = docs.select(kind.alias("id"), F.coalesce("lang", F.lit("")).alias("part"), w.alias("words")).where("id IS NOT NULL")
+    return setjoin.links_of_equal_sets_at_once(sets, F.col("id").like("S1-%"), lambda df: kept(df, "sets"))
 
 
 class Corpus:
