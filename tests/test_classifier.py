@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kinlink.operators import classifier as c
@@ -114,3 +115,27 @@ def test_patience(monkeypatch):
     for seen, patience, best in (([5, 4, 3, 3, 2], 2, 5), ([5, 4, 6, 6, 1], 2, 2), ([1.0], 50, 1)):
         monkeypatch.setattr(c, "losses", lambda model, tuning, seen=seen: seen)
         assert c.best_iterations(None, None, patience) == best
+
+
+def many(spark, n: int):
+    """More different values than borders, and as many pairs as asked for."""
+    x, y = table(n, values=1000)
+    columns = {"ref_id": [f"r{i}" for i in range(n)], "target_id": ["t"] * n, "label": y.astype(int)}
+    return spark.createDataFrame(pa.table(columns | dict(zip(FEATURES, x.T, strict=True)))), x, y
+
+
+def test_every_pair_teaches(spark):
+    df, x, y = many(spark, 130_000)
+    model = c.fit(df, 2)
+    assert model.bias == np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
+    assert model == c.boost(x, y, 2)
+
+
+def test_spark_and_this_process_make_the_same_trees(spark, monkeypatch):
+    df, x, y = many(spark, 3_000)
+    monkeypatch.setattr(c, "BLOCK", 400)
+    here = c.fit(df, 11)
+    monkeypatch.setattr(c, "MOST_HELD", 0)
+    monkeypatch.setattr(c, "FRESH", 8)
+    assert c.fit(df.repartition(7), 11) == here == c.boost(x, y, 11)
+    assert len(here.trees) == 11
