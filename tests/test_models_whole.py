@@ -45,3 +45,9 @@ def expected(model, x):
 def test_fit_classifier_learns_from_all_fitting_pairs(spark, given):
     x, _, model = given
     assert probabilities(q.SPARK["fit_classifier"](spark, "")) == expected(model, x)
+
+
+def test_feature_importance_is_that_of_all_fitting_pairs(spark, given):
+    _, _, model = given
+    found = {r.feature: r.importance for r in q.SPARK["feature_importance"](spark, "").collect()}
+    assert found == pytest.approx(classifier.importance(model), abs=1e-12)
