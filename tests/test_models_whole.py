@@ -51,3 +51,18 @@ def test_feature_importance_is_that_of_all_fitting_pairs(spark, given):
     _, _, model = given
     found = {r.feature: r.importance for r in q.SPARK["feature_importance"](spark, "").collect()}
     assert found == pytest.approx(classifier.importance(model), abs=1e-12)
+
+
+def test_model_report_is_that_of_a_model_and_threshold_of_all_pairs(spark, given, monkeypatch):
+    x, y, model = given
+    seen, choose = [], q.metrics.choose_threshold
+
+    def noted(entities, scored):
+        seen.append(probabilities(scored))
+        return choose(entities, scored)
+
+    monkeypatch.setattr(q.metrics, "choose_threshold", noted)
+    found = {r.split: (r.entities, r.singletons) for r in q.SPARK["model_report"](spark, "").collect()}
+    assert seen[0] == expected(model, x)
+    at = np.cumsum([0, N, REST, REST])
+    assert found == {s: (b - a, int((y[a:b] == 0).sum())) for s, a, b in zip(["fitting", "tuning", "holdout"], at, at[1:])}
