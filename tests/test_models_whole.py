@@ -66,3 +66,8 @@ def test_model_report_is_that_of_a_model_and_threshold_of_all_pairs(spark, given
     assert seen[0] == expected(model, x)
     at = np.cumsum([0, N, REST, REST])
     assert found == {s: (b - a, int((y[a:b] == 0).sum())) for s, a, b in zip(["fitting", "tuning", "holdout"], at, at[1:])}
+
+
+def test_refit_final_learns_from_all_pairs(spark, given):
+    x, y, _ = given
+    assert probabilities(q.SPARK["refit_final"](spark, "")) == expected(classifier.boost(x, y.astype(float), 2), x)
