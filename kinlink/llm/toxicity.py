@@ -45,6 +45,7 @@ from ._shared import crc_of_id, materialize, remembered, small_batches
 PLACES = 1 << 20
 WORDS = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 REMEMBERED = 200_000
+PART = 500  # texts whose terms are looked at together
 
 
 def words_of(text: str | None) -> set[bytes]:
@@ -144,11 +145,19 @@ def learn(
     lists = table.column("places").combine_chunks()
     if isinstance(lists, pa.ChunkedArray):
         lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
-    flat = lists.flatten().to_numpy()
-    owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    del table
+
+    def parts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows and places of ``PART`` texts at a time: arrays over all places would take a multiple of the table."""
+        for at in range(0, len(lists), PART):
+            some = lists.slice(at, PART)
+            yield np.repeat(np.arange(at, at + len(some)), some.value_lengths().to_numpy()), some.flatten().to_numpy()
+
     n1, n0 = max(1, int((y == 1).sum())), max(1, int((y == 0).sum()))
-    df1 = np.bincount(flat[y[owner] == 1], minlength=PLACES)
-    df0 = np.bincount(flat[y[owner] == 0], minlength=PLACES)
+    df1, df0 = np.zeros(PLACES, np.int64), np.zeros(PLACES, np.int64)
+    for owner, flat in parts():
+        df1 += np.bincount(flat[y[owner] == 1], minlength=PLACES)
+        df0 += np.bincount(flat[y[owner] == 0], minlength=PLACES)
     p = (df1 + df0) / (n1 + n0)
     z = (df1 / n1 - df0 / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0))
     z[df1 + df0 < 3] = 0
@@ -159,10 +168,13 @@ def learn(
     if not len(places):
         return Machine(none[0], float(np.log(sizes[1] / sizes[0])), none[1], none[2])
 
-    x = np.zeros((len(y), len(places)), np.float32)
-    where = np.searchsorted(places, flat).clip(0, len(places) - 1)
-    hit = places[where] == flat
-    x[owner[hit], where[hit]] = 1
+    x = np.zeros((len(y), len(places)), np.uint8)
+    for owner, flat in parts():
+        where = np.searchsorted(places, flat).clip(0, len(places) - 1)
+        hit = places[where] == flat
+        x[owner[hit], where[hit]] = 1
+    del lists, owner, flat, where, hit
+    pa.default_memory_pool().release_unused()
     weight = np.where(y == 1, sizes[1] / n1, sizes[0] / n0)
     weight = weight / weight.mean()
     rng = np.random.default_rng(20)

@@ -1,6 +1,7 @@
 import collections
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -169,6 +170,21 @@ def test_learning_is_bounded(spark):
     assert len(toxicity.learn(once, labels, most_places=2000, steps=30).places) < len(one.places)
 
 
+def test_learning_holds_few_arrays_over_all_terms(spark):
+    r = random.Random(3)
+    n = 3000
+    words = [" ".join(f"{r.randrange(10**6):06d}" for _ in range(500)) for _ in range(n)]
+    docs = spark.createDataFrame([(i, "bad " * (i % 2) + w) for i, w in enumerate(words)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, toxic int")
+    tracemalloc.start()
+    try:
+        machine = toxicity.learn(docs, labels, steps=10, epochs=1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(machine.places) and peak < 100e6  # 3.5 million terms in all
+
+
 def test_pairs_weigh_more_than_their_parts(spark):
     """Two words that are harmless alone, toxic together: no linear weights can say so."""
     r = random.Random(3)
